@@ -1,0 +1,65 @@
+"""Compare a Spark result with a DuckDB result: columns, row count and values in any order."""
+
+import datetime
+import math
+import os
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder):
+    connection = duckdb.connect()
+    for name in TABLES:
+        path = os.path.join(folder, f"{name}.parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def plain(value):
+    if value is None:
+        return None
+    if isinstance(value, bool):
+        return value
+    if isinstance(value, float):
+        if math.isnan(value):
+            return "NaN"
+        return float(f"{value:.10g}")
+    if isinstance(value, int):
+        return value
+    if isinstance(value, datetime.datetime):
+        return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, (list, tuple)):
+        return tuple(plain(v) for v in value)
+    if isinstance(value, dict):
+        return tuple(sorted((k, plain(v)) for k, v in value.items()))
+    return str(value)
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+def differences(frame, sql, folder):
+    """A text that says how the two results differ, or None."""
+    ours = frame.columns
+    rows = [tuple(r) for r in frame.collect()]
+    cursor = connect(folder).execute(sql)
+    theirs = [d[0] for d in cursor.description]
+    expected = cursor.fetchall()
+    if sorted(ours) != sorted(theirs):
+        return f"columns {sorted(ours)} != {sorted(theirs)}"
+    left, right = bag(ours, rows), bag(theirs, expected)
+    if left != right:
+        only_left, only_right = list((left - right).elements()), list((right - left).elements())
+        return (
+            f"rows {len(rows)} / {len(expected)}, {len(only_left)} differ: "
+            f"{sorted(ours)} spark {only_left[:3]} sql {only_right[:3]}"
+        )
+    return None
