@@ -6,6 +6,8 @@ default; the patterns below spell the wider classes out where it matters.
 
 from pyspark.sql import Column, functions as F
 
+from .binding import let
+
 # ---- fixed values -------------------------------------------------------------
 # Words that carry no topic, in the four places that use their own list.
 RANKING_STOP_WORDS = (
@@ -200,11 +202,10 @@ def is_relevant_page(value: Column) -> Column:
 def pages(value: Column) -> Column:
     """Array of (page_number, text) by `[Page n]` headings; unmarked text is page 1."""
     numbers = F.regexp_extract_all(value, F.lit(PAGE_HEADING), F.lit(1))
-    bodies = F.split(value, PAGE_HEADING)
-    marked = F.transform(
+    marked = let(F.split(value, PAGE_HEADING), lambda bodies: F.transform(
         numbers,
         lambda n, i: F.struct(n.cast("int").alias("page_number"), strip(bodies[i + 1]).alias("text")),
-    )
+    ))
     single = F.array(F.struct(F.lit(1).alias("page_number"), strip(value).alias("text")))
     return F.filter(F.when(F.size(numbers) > 0, marked).otherwise(single), lambda p: p["text"] != "")
 
