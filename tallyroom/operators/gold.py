@@ -178,21 +178,18 @@ def model_input(features: DataFrame) -> DataFrame:
 
 
 def student_clusters(features: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """K-means cluster of every (user, topic) row; -1 for an empty table."""
+    """K-means cluster of every (user, topic) row; -1 when all rows are alike or there are none."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    if features.isEmpty():
-        return features.withColumn("cluster_id", F.lit(-1))
-    assembler = VectorAssembler(
-        inputCols=["interaction_count", "avg_score", "time_spent_seconds"], outputCol="features"
-    )
-    vectors = assembler.transform(model_input(features)).persist()
-    try:
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id").fit(vectors)
-    finally:
-        vectors.unpersist()
-    return model.transform(assembler.transform(model_input(features))).drop("features")
+    names = ["interaction_count", "avg_score", "time_spent_seconds"]
+    filled = model_input(features)
+    # Too few different points for k centres leaves nothing to cluster.
+    if filled.select(*names).distinct().limit(2).count() < 2:
+        return filled.withColumn("cluster_id", F.lit(-1))
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(filled)
+    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id").fit(vectors)
+    return model.transform(vectors).drop("features")
 
 
 def performance_predictions(features: DataFrame, fit_from_rows: int = 4) -> DataFrame:

@@ -130,7 +130,7 @@ def silver_documents(documents: DataFrame) -> DataFrame:
     }
     return documents.select(
         *[
-            values.get(f.name, F.col(f.name) if f.name in documents.columns else None)
+            values.get(f.name, F.col(f.name) if f.name in documents.columns else F.lit(None))
             .cast(f.dataType).alias(f.name)
             for f in schemas.SILVER_DOCUMENT
         ]

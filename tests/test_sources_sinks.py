@@ -1,0 +1,185 @@
+import datetime
+import json
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tallyroom import schemas
+from tallyroom.operators import silver
+from tallyroom.plans import ingest, medallion
+from tallyroom.sinks import zones
+from tallyroom.sources import batch, streams
+
+
+def _lines(path, records):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as file:
+        file.write("\n".join(json.dumps(r) if isinstance(r, dict) else r for r in records) + "\n")
+    return path
+
+
+def _record(**extra):
+    return {"user_id": "7", "timestamp": "2024-03-01T10:00:00+00:00", "topic": "python", "action_type": "a",
+            "score": 86.5, **extra}
+
+
+def test_logs_missing_empty_blank_and_corrupt(spark, tmp_path):
+    assert batch.read_log(spark, tmp_path / "none.json").count() == 0
+    (tmp_path / "empty.json").write_text("")
+    empty = batch.read_log(spark, tmp_path / "empty.json")
+    assert empty.schema == schemas.LOG_RECORD and empty.count() == 0
+    path = _lines(str(tmp_path / "log.json"), [_record(), "", _record(metadata={"topics": ["a"], "n": 3}), "{bad"])
+    kept = batch.read_json_records(spark, path, schemas.LOG_RECORD, keep_corrupt=True).cache()
+    assert kept.count() == 3 and kept.where("_corrupt_record is not null").count() == 1
+    meta = batch.read_log(spark, path).where("metadata is not null").first()["metadata"]
+    assert meta == {"topics": '["a"]', "n": "3"}
+
+
+def test_lake_round_trip_and_pruning(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    assert batch.read_event_lake(spark, lake).count() == 0
+    source = spark.read.schema(schemas.LOG_RECORD).json(_lines(str(tmp_path / "in.json"), [
+        _record(), _record(timestamp="2024-03-02T23:30:00-05:00"), _record(timestamp="2024-04-01T00:00:00Z"),
+        _record(timestamp=None), _record(timestamp="rubbish")]))
+    zones.append_to_lake(source, "quiz", lake)
+    zones.append_to_lake(source.limit(1), "chat", lake)
+    everything = batch.read_event_lake(spark, lake)
+    assert everything.count() == 5
+    assert os.path.isdir(os.path.join(lake, "event_type=quiz", "year=2024", "month=03", "day=02"))
+    march = batch.read_event_lake(spark, lake, datetime.date(2024, 3, 1), datetime.date(2024, 3, 2))
+    assert march.count() == 3
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan.replace("\n", "")
+
+
+def test_tables_and_gold_absent_or_present(spark, tmp_path):
+    assert batch.read_operational_table(spark, tmp_path, "events").schema == schemas.OPERATIONAL["events"]
+    assert batch.read_gold(spark, tmp_path, "topic_metrics").isEmpty()
+    assert set(batch.load_tables(spark, tmp_path)) == set(schemas.OPERATIONAL)
+
+
+def test_datasets(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("category,value\nx,1\ny,2\n")
+    frame = batch.read_dataset(spark, tmp_path / "a.csv")
+    assert frame.count() == 2 and dict(frame.dtypes)["value"] == "int"
+    (tmp_path / "a.json").write_text('[{"a": 1}, {"a": 2}]')
+    assert batch.read_dataset(spark, tmp_path / "a.json").count() == 2
+    (tmp_path / "b.csv").write_text("category,value\n")
+    for bad in ("b.csv", "c.xlsx"):
+        with pytest.raises(ValueError):
+            batch.read_dataset(spark, tmp_path / bad)
+
+
+def test_text_documents_and_ingest(spark, tmp_path):
+    for name, body in (("week_1-intro.txt", "same text"), ("copy.txt", "same text"), ("other.txt", "other\n\ntext")):
+        (tmp_path / name).write_text(body)
+    files = batch.read_text_documents(spark, tmp_path)
+    assert files.count() == 3
+    uploads = files.select(
+        F.row_number().over(__import__("pyspark").sql.Window.orderBy(F.desc("filename"))).cast("long").alias("id"),
+        F.lit(7).cast("long").alias("user_id"), "filename", F.col("text").alias("text_content"),
+        F.lit("2024-01-01T00:00:00").alias("created_at"))
+    done = ingest.ingest(uploads)
+    registered = {r["filename"]: r for r in done["documents"].collect()}
+    assert set(registered) == {"week_1-intro.txt", "other.txt"}
+    assert registered["week_1-intro.txt"]["usage_count"] == 2
+    assert registered["week_1-intro.txt"]["topic"] == "copy"
+    assert registered["week_1-intro.txt"]["text_content"] == "same text"
+    assert done["chunks"].count() == 2
+    assert {r["topic"] for r in done["records"].collect()} == {"week 1 intro", "copy", "other"}
+    events = done["events"].collect()
+    assert len(events) == 3 and len({e["resource_id"] for e in events}) == 2
+    assert json.loads(events[0]["event_data"])["language"] == "en"
+
+
+def test_publish_fans_out(spark, tmp_path):
+    frame = spark.createDataFrame([(7, "python", 86.5, "q1", 5)], "u int, t string, s double, q string, n int")
+    record = silver.records(frame, silver.quiz_record(
+        F.col("u"), F.lit("2024-03-01T10:00:00+00:00"), F.col("t"), F.col("s"), F.col("n"), F.col("q")))
+    paths = [str(tmp_path / p) for p in ("logs", "micro", "lake")]
+    zones.publish_events(record, "quiz", *paths)
+    assert batch.read_log(spark, os.path.join(paths[0], "quiz_logs.json")).first()["quiz_id"] == "q1"
+    assert spark.read.schema(schemas.LOG_RECORD).json(paths[1]).count() == 1
+    assert batch.read_event_lake(spark, paths[2]).first()["event_type"] == "quiz"
+
+
+def test_event_type_of_log(one):
+    for name, kind in (("quiz_logs.json", "quiz"), ("chat_logs.json", "chat"), ("user_activity.json", "activity")):
+        assert one(zones.event_type_of_log(name)) == kind
+
+
+def test_backfill(spark, tmp_path):
+    schema = schemas.OPERATIONAL["events"]
+    def event(i, topics, data):
+        values = dict.fromkeys(schema.fieldNames())
+        values.update(id=i, activity_type="a", topics_json=topics, event_data=data, created_at=f"2024-01-0{i}T00:00:00")
+        return tuple(values[n] for n in schema.fieldNames())
+    events = spark.createDataFrame([event(1, '["x","y"]', '{"k": 1}'), event(2, None, None), event(3, '["z"]', "{}")], schema)
+    got = zones.history_records(events, 2).orderBy("timestamp").collect()
+    assert [(r["topic"], r["user_id"]) for r in got] == [("general", ""), ("z", "")]
+    zones.backfill_lake(events, str(tmp_path / "lake"))
+    lake = batch.read_event_lake(spark, str(tmp_path / "lake"))
+    assert lake.count() == 3 and lake.where("topic = 'x'").first()["metadata"] == {"k": "1"}
+
+
+def test_export(spark, tmp_path, frame):
+    tables = {"quiz_results": frame("id long, user_id long, topic string", (1, 7, 'a "b", c'), (2, 8, "x"))}
+    zones.export_table(tables, "quiz_results", tmp_path / "csv", "csv", user_id=7)
+    back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
+    assert rows(back) == [("1", "7", 'a "b", c')]
+    zones.export_table(tables, "quiz_results", tmp_path / "json", "json")
+    assert spark.read.json(str(tmp_path / "json")).count() == 2
+    with pytest.raises(ValueError):
+        zones.export_rows(tables, "secrets")
+
+
+def test_kafka_payload_and_options(frame):
+    raw = frame("value binary", (bytearray(json.dumps(_record()).encode()),), (bytearray(b"nonsense"),))
+    got = streams.decode_payload(raw)
+    assert got.columns == schemas.LOG_RECORD.fieldNames()
+    assert [r["topic"] for r in got.collect()] == ["python", None]
+    assert streams.kafka_options("h:1", ["a", "b", "c"])["subscribe"] == "a,b,c"
+
+
+def _deploy(spark, root):
+    _lines(f"{root}/logs/quiz_logs.json", [_record(quiz_id="q1"), _record(score=40.0), _record(timestamp="bad")])
+    zones.append_to_lake(batch.read_log(spark, f"{root}/logs/quiz_logs.json"), "quiz", f"{root}/lakehouse/raw_events")
+    sessions = spark.createDataFrame([(1, 7, None, "s", "python", 12, None, 1.0, "2024-03-01T11:00:00+00:00")],
+                                     schemas.OPERATIONAL["study_sessions"])
+    zones.append_rows(sessions, f"{root}/tables/study_sessions")
+
+
+def test_batch_run_end_to_end(spark, tmp_path):
+    root = str(tmp_path)
+    _deploy(spark, root)
+    report = medallion.run(spark, root)
+    assert report["status"] == "completed" and report["scale_classification"] == "medium_scale"
+    # Three log rows, two readable ones in the lake, one study session.
+    assert report["records_processed"] == 6
+    assert report["log_records_ingested"] == 5 and report["database_records_ingested"] == 1
+    metrics = batch.read_gold(spark, f"{root}/gold", "topic_metrics").first()
+    assert (metrics["topic"], metrics["events"], metrics["attempts"], metrics["avg_score"]) == ("python", 5, 4, 63.25)
+    assert batch.read_gold(spark, f"{root}/gold", "student_clusters").count() == 1
+    assert batch.read_gold(spark, f"{root}/gold", "document_usage").isEmpty()
+    stored = json.loads(spark.read.text(f"{root}/reports/end_to_end_batch").first()["value"])
+    assert stored["topic_metrics_preview"][0]["topic"] == "python"
+    # A second run over the same input replaces the zones and gives the same Gold.
+    medallion.run(spark, root)
+    assert batch.read_gold(spark, f"{root}/gold", "topic_metrics").first() == metrics
+    row = medallion.report_row(spark, report)
+    from tallyroom.operators.tables import report_event
+    event = report_event(row).first()
+    assert (event["user_id"], event["activity_type"], event["event_type"]) == (None, "pipeline", "pipeline_report")
+
+
+def test_failed_run_leaves_a_report(spark, tmp_path):
+    with pytest.raises(Exception):
+        medallion.run(spark, str(tmp_path), table_format="no_such_format")
+    stored = json.loads(spark.read.text(f"{tmp_path}/reports/end_to_end_batch").first()["value"])
+    assert stored["status"] == "failed" and stored["error"]
+
+
+def test_scale_class():
+    assert [medallion.scale_class(n) for n in (999_999, 1_000_000)] == ["medium_scale", "large_scale"]
