@@ -1,7 +1,8 @@
 """Text expressions over string columns.
 
-Python's whitespace and word boundaries are Unicode-aware, Java's are not by
-default; the patterns below spell the wider classes out where it matters.
+Whitespace and word boundaries are meant in the Unicode sense, which Java patterns
+only have on request: `(?U:...)` asks for it where it is needed, since it is slow. A
+lookahead for the possible first letters in front of it skips most positions.
 """
 
 from pyspark.sql import Column, functions as F
@@ -33,46 +34,58 @@ QUERY_EXPANSIONS = {
     "evaluation": "evaluation criteria assessment judging marks weightage".split(),
     "criteria": "criteria evaluation assessment judging marks weightage".split(),
 }
-# Front-matter lines that never answer a question.
+# Front matter that never answers a question; each starts at a word boundary.
 NOISE_PATTERNS = [
-    r"\broll\s*no\b",
-    r"\bteam\s+members?\b",
-    r"\bcourse\b",
-    r"\bbtech\b",
-    r"\bsubmitted\s+by\b",
-    r"\bdepartment\b",
-    r"\bstudent\b",
-    r"\bguide\b",
-    r"\bmentor\b",
-    r"\bname\s*:",
+    r"roll\s*no\b",
+    r"team\s+members?\b",
+    r"course\b",
+    r"btech\b",
+    r"submitted\s+by\b",
+    r"department\b",
+    r"student\b",
+    r"guide\b",
+    r"mentor\b",
+    r"name\s*:",
 ]
 FOLLOW_UP_WORDS = "this that it them these those continue previous".split()
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 WORD = r"[A-Za-z0-9-]+"
-STATISTIC = r"(?U)\b\d+(?:\.\d+)?%?\b"
-DEFINITION = r"(?iU)\b(?:is|refers to|defined as|means)\b"
-CAPITALISED_PHRASE = r"(?U)\b[A-Z][A-Za-z0-9+-]{2,}(?:\s+[A-Z][A-Za-z0-9+-]{2,})*\b"
+STATISTIC = r"(?=\p{Nd})(?U:\b)\p{Nd}+(?:\.\p{Nd}+)?%?(?U:\b)"
+DEFINITION = r"(?i)(?=[irdm])(?U:\b)(?:is|refers to|defined as|means)(?U:\b)"
+CAPITALISED_PHRASE = (
+    r"(?=[A-Z])(?U:\b)[A-Z][A-Za-z0-9+-]{2,}(?:(?U:\s)+[A-Z][A-Za-z0-9+-]{2,})*(?U:\b)"
+)
 PAGE_HEADING = r"(?i)(?:^|\n)\[Page\s+(\d+)\]\s*\n"
 PAGE_REFERENCE = r"(?iU)\bpage\s+(\d+)\b"
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 # ---- end of fixed values --------------------------------------------------------
 
-SPACE = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# One whitespace character. Printable ASCII is ruled out first, so that ordinary
+# letters cost one comparison.
+SPACE = r"[[^!-~]&&[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+_SPACES = "".join(map(chr, [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+    0x202F, 0x205F, 0x3000,
+]))
 
 
-def strip(value: Column, extra: str = "") -> Column:
-    """Remove whitespace of any kind (and `extra` characters) from both ends."""
-    ends = f"[{SPACE}{extra}]+"
-    return F.regexp_replace(value, f"^{ends}|{ends}$", "")
+def strip(value: Column) -> Column:
+    """Remove whitespace of any kind from both ends."""
+    return F.btrim(value, F.lit(_SPACES))
 
 
 def strip_only(value: Column, characters: str) -> Column:
-    """Remove just the given regex-class characters from both ends."""
-    return F.regexp_replace(value, f"^[{characters}]+|[{characters}]+$", "")
+    """Remove just the given characters from both ends."""
+    return F.btrim(value, F.lit(characters))
+
+
+def is_blank(value: Column) -> Column:
+    return ~value.rlike(rf"(?s)[!-~]|(?!{SPACE}).")
 
 
 def words(value: Column) -> Column:
     """Whitespace-separated words, never an empty one."""
-    return F.filter(F.split(value, f"[{SPACE}]+"), lambda w: w != "")
+    return F.filter(F.split(value, f"{SPACE}+"), lambda w: w != "")
 
 
 def word_count(value: Column) -> Column:
@@ -86,23 +99,25 @@ def clean_token(value: Column) -> Column:
 
 def clean_words(value: Column) -> Column:
     """Cleaned whitespace-separated words without empty ones, duplicates kept."""
-    return F.filter(F.transform(words(value), clean_token), lambda w: w != "")
+    bare = F.regexp_replace(value, f"[^a-zA-Z0-9](?<!{SPACE})", "")
+    return F.filter(F.split(F.lower(bare), f"{SPACE}+"), lambda w: w != "")
 
 
 def strip_page_markers(value: Column) -> Column:
     """Replace `[Page n]` markers by a newline and squeeze longer newline runs to two."""
-    unmarked = F.regexp_replace(
-        F.coalesce(value, F.lit("")), rf"(?i)[{SPACE}]*\[Page[{SPACE}]+\d+\][{SPACE}]*", "\n"
-    )
+    text = F.coalesce(value, F.lit(""))
+    marker = rf"(?i){SPACE}*\[Page{SPACE}+\d+\]{SPACE}*"
+    unmarked = F.when(F.contains(text, F.lit("[")), F.regexp_replace(text, marker, "\n")).otherwise(text)
     return strip(F.regexp_replace(unmarked, r"\n{3,}", "\n\n"))
 
 
 def without_page_headings(value: Column) -> Column:
-    return strip(F.regexp_replace(value, PAGE_HEADING, "\n"))
+    marked = F.contains(value, F.lit("["))
+    return strip(F.when(marked, F.regexp_replace(value, PAGE_HEADING, "\n")).otherwise(value))
 
 
 def _split_after_stop(value: Column) -> Column:
-    return F.split(value, f"(?<=[.!?])[{SPACE}]+")
+    return F.split(value, f"(?<=[.!?]){SPACE}+")
 
 
 def sentences(value: Column, min_words: int = 5) -> Column:
@@ -118,22 +133,26 @@ def question_sentences(value: Column) -> Column:
 
 
 def lines(value: Column) -> Column:
-    return F.split(value, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
+    return F.split(value, LINE_END)
 
 
 def is_noise(value: Column) -> Column:
     """Blank text, front-matter phrases, or bracketed text with digits."""
-    anything = "(?iU)(?:" + "|".join(NOISE_PATTERNS) + ")"
-    bracketed = (F.regexp_count(value, F.lit(r"\(")) >= 2) & value.rlike(r"(?U)\d")
-    return (strip(value) == "") | value.rlike(anything) | bracketed
+    endings = [p.replace(r"\b", r"(?U:\b)") for p in NOISE_PATTERNS]
+    first_letters = "".join(sorted({p[0] for p in NOISE_PATTERNS}))
+    anything = rf"(?i)(?=[{first_letters}])(?U:\b)(?:" + "|".join(endings) + ")"
+    bracketed = (F.regexp_count(value, F.lit(r"\(")) >= 2) & value.rlike(r"\p{Nd}")
+    return is_blank(value) | value.rlike(anything) | bracketed
 
 
 def units(value: Column) -> Column:
-    """Answerable pieces: sentences of each line with four words or more and no noise."""
-    def pieces(line):
-        return F.transform(_split_after_stop(strip_only(line, r" \t-")), lambda p: strip_only(p, r" \t-"))
+    """Answerable pieces: sentences of each line with four words or more and no noise.
 
-    parts = F.flatten(F.transform(lines(strip_page_markers(value)), pieces))
+    Cutting at line ends and after sentence stops in one go gives the same
+    pieces as cutting lines first: what differs is blank and drops out.
+    """
+    cut = F.split(strip_page_markers(value), rf"{LINE_END}|(?<=[.!?]){SPACE}+")
+    parts = F.transform(cut, lambda p: strip_only(p, " \t-"))
     return F.filter(parts, lambda p: (word_count(p) >= 4) & ~is_noise(p))
 
 
@@ -176,12 +195,12 @@ def length_metrics(value: Column) -> dict:
     """Characters, words, sentences (by full stop), non-blank lines, words per sentence."""
     n_words = word_count(value)
     by_stop = F.split(F.regexp_replace(value, r"\n", " "), r"\.")
-    n_sentences = F.size(F.filter(by_stop, lambda s: strip(s) != ""))
+    n_sentences = F.size(F.filter(by_stop, lambda s: ~is_blank(s)))
     return {
         "characters": F.length(value),
         "words": n_words,
         "sentences": n_sentences,
-        "paragraphs": F.size(F.filter(lines(value), lambda s: strip(s) != "")),
+        "paragraphs": F.size(F.filter(lines(value), lambda s: ~is_blank(s))),
         "avg_words_per_sentence": F.round(
             (n_words / F.greatest(n_sentences, F.lit(1))).cast("decimal(28,10)"), 2
         ).cast("double"),
@@ -228,7 +247,7 @@ def chunks(value: Column, length: int = 1800, overlap: int = 250) -> Column:
     step = max(length - overlap, 1)
     text = F.regexp_replace(value, "\r\n", "\n")
     paragraphs = F.filter(
-        F.transform(F.split(text, rf"\n[{SPACE}]*\n+"), lambda p: strip(p)), lambda p: p != ""
+        F.transform(F.split(text, rf"\n{SPACE}*\n+"), lambda p: strip(p)), lambda p: p != ""
     )
 
     def windows(p):
@@ -279,7 +298,7 @@ def concise_fact(sentence: Column) -> Column:
 
 def single_spaced(value: Column) -> Column:
     """Page markers out, whitespace runs to one space."""
-    return strip(F.regexp_replace(strip_page_markers(value), f"[{SPACE}]+", " "))
+    return strip(F.regexp_replace(strip_page_markers(value), f"{SPACE}+", " "))
 
 
 def needs_history(question: Column) -> Column:
