@@ -55,8 +55,8 @@ def _silver(t):
     return silver.silver_events(t.logs, _operational(t))
 
 
-def _cube(t):
-    return gold.activity_cube(_silver(t))
+def _measures(t):
+    return gold.measured_events(_silver(t))
 
 
 # ---- sinks seen as projections ------------------------------------------------------
@@ -250,7 +250,7 @@ _FEATURES = f"""features AS (
 
 @query("f1_topic_metrics", f"WITH {_SILVER}, {_METRICS} SELECT * FROM metrics")
 def topic_metrics(t):
-    return gold.topic_metrics(_cube(t))
+    return gold.topic_metrics(_measures(t))
 
 
 @query("f2_user_engagement", f"""WITH {_SILVER} SELECT *, CASE WHEN total_events >= 100 THEN 'high'
@@ -259,20 +259,20 @@ def topic_metrics(t):
   {mean_sql("engagement_score")} AS avg_engagement, CAST(sum(duration_seconds) AS BIGINT) AS total_duration_seconds,
   count(DISTINCT topic) AS topics_covered FROM silver GROUP BY user_id)""")
 def user_engagement(t):
-    return gold.user_engagement(_cube(t))
+    return gold.user_engagement(_measures(t))
 
 
 @query("f3_daily_activity", f"""WITH {_SILVER} SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS events,
   count(DISTINCT user_id) AS active_users, {mean_sql("score")} AS avg_score, count(DISTINCT topic) AS topics_touched
   FROM silver GROUP BY 1""")
 def daily_activity(t):
-    return gold.daily_activity(_cube(t))
+    return gold.daily_activity(_measures(t))
 
 
 @query("f4_hourly_activity", f"""WITH {_SILVER} SELECT strftime(date_trunc('hour', event_timestamp), '%Y-%m-%d %H:%M:%S') AS event_hour,
   event_type, count(*) AS events, count(DISTINCT user_id) AS active_users FROM silver GROUP BY 1, 2""")
 def hourly_activity(t):
-    return gold.hourly_activity(_cube(t))
+    return gold.hourly_activity(_measures(t))
 
 
 @query("f5_document_usage", rf"""SELECT source AS topic, count(DISTINCT doc_id) AS documents,
@@ -287,7 +287,12 @@ def document_usage(t):
   CASE WHEN avg_score < 60 OR interaction_count < 2 THEN 1 ELSE 0 END AS recommend_revision,
   CASE WHEN avg_score >= 80 THEN 'strong' WHEN avg_score >= 60 THEN 'steady' ELSE 'weak' END AS skill_band FROM features""")
 def recommendation_features(t):
-    return gold.recommendation_features(_cube(t))
+    return gold.recommendation_features(_measures(t))
+
+
+@query("f6_features_from_cube", f"""WITH {_SILVER}, {_FEATURES} SELECT * FROM features""")
+def features_from_cube(t):
+    return gold.recommendation_features(gold.activity_cube(_silver(t))).drop("recommend_revision", "skill_band")
 
 
 @query("f7_learning_recommendations", f"""WITH {_SILVER}, {_METRICS} SELECT topic, avg_score, attempts, difficulty_score,
@@ -295,7 +300,7 @@ def recommendation_features(t):
        WHEN avg_score < 60 THEN 'Schedule targeted review and a medium quiz.'
        ELSE 'Maintain progress with advanced practice.' END AS recommendation FROM metrics""")
 def learning_recommendations(t):
-    return gold.learning_recommendations(gold.topic_metrics(_cube(t)))
+    return gold.learning_recommendations(gold.topic_metrics(_measures(t)))
 
 
 # ---- dashboards ---------------------------------------------------------------------
@@ -352,7 +357,7 @@ def fallback_hardest(t):
 @query("g10_sorted_gold_limit", f"""WITH {_SILVER} SELECT user_id, count(*) AS total_events, {mean_sql("score")} AS avg_score
   FROM silver GROUP BY user_id ORDER BY total_events DESC, avg_score DESC NULLS LAST, user_id LIMIT 10""")
 def sorted_gold_limit(t):
-    return gold.user_engagement(_cube(t)).limit(10).select("user_id", "total_events", "avg_score")
+    return gold.user_engagement(_measures(t)).limit(10).select("user_id", "total_events", "avg_score")
 
 
 # ---- models -------------------------------------------------------------------------
@@ -360,25 +365,25 @@ def sorted_gold_limit(t):
 
 @query("h9_student_clusters")
 def student_clusters(t):
-    return gold.student_clusters(gold.recommendation_features(_cube(t)))
+    return gold.student_clusters(gold.recommendation_features(_measures(t)))
 
 
 @query("h10_performance_predictions")
 def performance_predictions(t):
-    return gold.performance_predictions(gold.recommendation_features(_cube(t)))
+    return gold.performance_predictions(gold.recommendation_features(_measures(t)))
 
 
 @query("h11_formula_predictions", f"""WITH {_SILVER}, {_FEATURES} SELECT user_id, topic, interaction_count,
   {rounded("coalesce(avg_score, 0.0) * 0.75 + ln(interaction_count + 1.0) * 6.0")} AS predicted_score FROM features""")
 def formula_predictions(t):
-    return gold.formula_predictions(gold.recommendation_features(_cube(t))).select(
+    return gold.formula_predictions(gold.recommendation_features(_measures(t))).select(
         "user_id", "topic", "interaction_count", "predicted_score")
 
 
 @query("h12_model_input", f"""WITH {_SILVER}, {_FEATURES} SELECT user_id, topic, interaction_count,
   coalesce(avg_score, 0.0) AS avg_score, coalesce(time_spent_seconds, 0) AS time_spent_seconds FROM features""")
 def model_input(t):
-    return gold.model_input(gold.recommendation_features(_cube(t))).select(
+    return gold.model_input(gold.recommendation_features(_measures(t))).select(
         "user_id", "topic", "interaction_count", "avg_score", "time_spent_seconds")
 
 

@@ -58,7 +58,7 @@ def daily_trend(logs: DataFrame, missing_average=None) -> DataFrame:
 
 def hardest_topics(logs: DataFrame) -> DataFrame:
     """Topic metrics of the logs, hardest first, with advice by average."""
-    return with_advice(gold.topic_metrics(gold.activity_cube(logs, "timestamp")))
+    return with_advice(gold.topic_metrics(gold.measured_events(logs, "timestamp")))
 
 
 def with_advice(metrics: DataFrame) -> DataFrame:

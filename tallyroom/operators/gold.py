@@ -1,10 +1,12 @@
 """Gold tables.
 
-All of them are read off one cube: a single aggregation of the events by user,
-topic, hour and event type. The events are shuffled once, after map-side
-combining; every later step works on the much smaller cube. Counting the users
-of a topic then needs no distinct: after grouping by (topic, user) each user is
-one row, and a hot topic or user is spread over its other keys.
+Each event becomes a row of measures (`measured_events`), and every table is a
+roll-up of measures. A roll-up of roll-ups gives the same totals, so a run that
+needs all tables first builds one cube by user, topic, hour and event type,
+stores it, and reads the tables off the cube; the events are then shuffled once,
+after map-side combining. Counting the users of a topic needs no distinct: after
+grouping by (topic, user) each user is one row, and a hot topic or user is
+spread over its other keys.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -20,45 +22,43 @@ _MEASURES = [
 ]
 
 
-def activity_cube(events: DataFrame, time_column: str = "event_timestamp") -> DataFrame:
-    """Counts and sums per user, topic, hour and event type; columns not there count as NULL."""
+def measured_events(events: DataFrame, time_column: str = "event_timestamp") -> DataFrame:
+    """Cube keys and measures of single events; columns that are not there count as NULL."""
     def have(name, kind):
         return F.col(name).cast(kind) if name in events.columns else F.lit(None).cast(kind)
 
     ts = time_of(events, time_column) if time_column in events.columns else F.lit(None).cast("timestamp")
     score, engagement = have("score", "double"), have("engagement_score", "double")
-    return (
-        events.select(
-            have("user_id", "string").alias("user_id"),
-            have("topic", "string").alias("topic"),
-            F.date_trunc("hour", ts).alias("event_hour"),
-            have("event_type", "string").alias("event_type"),
-            score.alias("score"), engagement.alias("engagement"),
-            have("duration_seconds", "long").alias("seconds"),
-        )
-        .groupBy(*CUBE_KEYS)
-        .agg(
-            F.count("*").alias("events"),
-            F.count("score").alias("scored"),
-            F.sum("score").alias("score_total"),
-            F.max("score").alias("score_best"),
-            F.sum("seconds").alias("duration_seconds"),
-            F.sum("engagement").alias("engagement_total"),
-            F.count("engagement").alias("engagement_rows"),
-        )
+    return events.select(
+        have("user_id", "string").alias("user_id"),
+        have("topic", "string").alias("topic"),
+        F.date_trunc("hour", ts).alias("event_hour"),
+        have("event_type", "string").alias("event_type"),
+        F.lit(1).cast("long").alias("events"),
+        score.isNotNull().cast("long").alias("scored"),
+        score.alias("score_total"),
+        score.alias("score_best"),
+        have("duration_seconds", "long").alias("duration_seconds"),
+        engagement.alias("engagement_total"),
+        engagement.isNotNull().cast("long").alias("engagement_rows"),
     )
 
 
-def roll_up(cube: DataFrame, *keys) -> DataFrame:
-    """Re-aggregate the cube's measures onto fewer keys."""
+def roll_up(measures: DataFrame, *keys) -> DataFrame:
+    """Aggregate measures (of events or of a finer roll-up) onto the given keys."""
     totals = [
         (F.max(m) if m == "score_best" else F.sum(m)).alias(m) for m in _MEASURES
     ]
-    return cube.groupBy(*keys).agg(*totals)
+    return measures.groupBy(*keys).agg(*totals)
+
+
+def activity_cube(events: DataFrame, time_column: str = "event_timestamp") -> DataFrame:
+    """Measures per user, topic, hour and event type, the common base of all tables."""
+    return roll_up(measured_events(events, time_column), *CUBE_KEYS)
 
 
-def _topic_totals(cube: DataFrame) -> DataFrame:
-    named = cube.where(F.col("topic").isNotNull()).withColumn("topic", F.trim("topic"))
+def _topic_totals(measures: DataFrame) -> DataFrame:
+    named = measures.where(F.col("topic").isNotNull()).withColumn("topic", F.trim("topic"))
     per_user = roll_up(named, "topic", "user_id")
     return per_user.groupBy("topic").agg(
         F.sum("score_total").alias("score_total"),
@@ -68,10 +68,10 @@ def _topic_totals(cube: DataFrame) -> DataFrame:
     )
 
 
-def topic_metrics(cube: DataFrame) -> DataFrame:
+def topic_metrics(measures: DataFrame) -> DataFrame:
     """Average, attempts, traffic, users and difficulty per topic, hardest first."""
     return (
-        _topic_totals(cube)
+        _topic_totals(measures)
         .withColumn("avg_score", mean(F.col("score_total"), F.col("attempts")))
         .withColumn("difficulty_score", difficulty(F.col("avg_score"), F.col("events")))
         .select("topic", "avg_score", "attempts", "events", "unique_users", "difficulty_score")
@@ -79,10 +79,10 @@ def topic_metrics(cube: DataFrame) -> DataFrame:
     )
 
 
-def user_engagement(cube: DataFrame) -> DataFrame:
+def user_engagement(measures: DataFrame) -> DataFrame:
     """Activity totals and engagement band per user, busiest first."""
     return (
-        roll_up(cube, "user_id", "topic")
+        roll_up(measures, "user_id", "topic")
         .groupBy("user_id")
         .agg(
             F.sum("events").alias("total_events"),
@@ -99,9 +99,9 @@ def user_engagement(cube: DataFrame) -> DataFrame:
     )
 
 
-def daily_activity(cube: DataFrame) -> DataFrame:
+def daily_activity(measures: DataFrame) -> DataFrame:
     """Events, active users, average and touched topics per day."""
-    dated = cube.withColumn("event_date", F.to_date("event_hour"))
+    dated = measures.withColumn("event_date", F.to_date("event_hour"))
     return (
         roll_up(dated, "event_date", "user_id", "topic")
         .groupBy("event_date")
@@ -115,10 +115,10 @@ def daily_activity(cube: DataFrame) -> DataFrame:
     )
 
 
-def hourly_activity(cube: DataFrame) -> DataFrame:
+def hourly_activity(measures: DataFrame) -> DataFrame:
     """Events and active users per hour and event type."""
     return (
-        roll_up(cube, "event_hour", "event_type", "user_id")
+        roll_up(measures, "event_hour", "event_type", "user_id")
         .groupBy("event_hour", "event_type")
         .agg(F.sum("events").alias("events"), F.count("user_id").alias("active_users"))
         .select(hour_label(F.col("event_hour")).alias("event_hour"), "event_type", "events", "active_users")
@@ -139,14 +139,14 @@ def document_usage(documents: DataFrame) -> DataFrame:
     )
 
 
-def recommendation_features(cube: DataFrame) -> DataFrame:
+def recommendation_features(measures: DataFrame) -> DataFrame:
     """Per user and topic: interactions, average, time, revision flag and skill band.
 
     Without any score the band is `weak`, and the flag depends on the count alone.
     """
     low = F.coalesce(F.col("avg_score") < 60, F.lit(False))
     return (
-        roll_up(cube, "user_id", "topic")
+        roll_up(measures, "user_id", "topic")
         .select(
             "user_id", "topic",
             F.col("events").alias("interaction_count"),

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import round_half_up
 
@@ -47,12 +47,15 @@ def profile(frame: DataFrame) -> DataFrame:
     )
 
 
+def _present(frame: DataFrame, name: str) -> Column:
+    return F.when(~_missing(frame, name), F.col(name).cast("double"))
+
+
 def numeric_summary(frame: DataFrame, exact_quantiles: bool = True, accuracy: int = 10000) -> DataFrame:
     """Per numeric column: count, mean, sample deviation, min, quartiles, max, median, missing.
 
-    Exact quartiles interpolate linearly and keep a count per distinct value;
-    `exact_quantiles=False` uses a sketch of fixed size for columns with very
-    many distinct values.
+    Exact quartiles interpolate linearly between neighbours (`exact_quantile_arrays`);
+    `exact_quantiles=False` takes them from a sketch in the one aggregate pass.
     """
     names = numeric_columns(frame)
     if not names:
@@ -60,23 +63,85 @@ def numeric_summary(frame: DataFrame, exact_quantiles: bool = True, accuracy: in
     cuts = [0.25, 0.5, 0.75]
     measures = []
     for name in names:
-        value = F.when(~_missing(frame, name), F.col(name).cast("double"))
-        quantiles = (
-            F.percentile(value, F.array(*[F.lit(c) for c in cuts]))
-            if exact_quantiles
-            else F.percentile_approx(value, cuts, accuracy)
-        )
-        measures.append(F.struct(
+        value = _present(frame, name)
+        fields = [
             F.lit(name).alias("column"), F.count(value).alias("count"), F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), quantiles.alias("q"),
-            F.max(value).alias("max"), F.count_if(_missing(frame, name)).alias("missing"),
-        ))
+            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
+            F.count_if(_missing(frame, name)).alias("missing"),
+        ]
+        if not exact_quantiles:
+            fields.append(F.percentile_approx(value, cuts, accuracy).alias("q"))
+        measures.append(F.struct(*fields))
     rows = frame.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    if exact_quantiles:
+        rows = rows.join(exact_quantile_arrays(frame, names, cuts), "column", "left")
     return rows.select(
         "column", "count", "mean", "std", "min",
-        F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"),
-        "max", F.col("q")[1].alias("median"), "missing",
+        F.get("q", F.lit(0)).alias("q25"), F.get("q", F.lit(1)).alias("q50"), F.get("q", F.lit(2)).alias("q75"),
+        "max", F.get("q", F.lit(1)).alias("median"), "missing",
+    )
+
+
+def exact_quantile_arrays(frame: DataFrame, names: list, cuts: list, ranges: int = 1000,
+                          accuracy: int = 10000) -> DataFrame:
+    """Exact, linearly interpolated quantiles per column: column, q (array in the order of `cuts`).
+
+    A first pass sketches borders that cut each column into ranges of about equal
+    size; these few numbers are all the driver sees. Equal values are then counted
+    on the map side, the ranges are counted, and only the one or two ranges a
+    quantile falls into are put in order. No task holds a whole column.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    grid = [i / ranges for i in range(1, ranges)]
+    sketch = frame.agg(*[
+        F.percentile_approx(_present(frame, n), grid, accuracy).alias(str(i)) for i, n in enumerate(names)
+    ]).first()
+    infinite = float("inf")
+    counted = []
+    for i, name in enumerate(names):
+        borders = sorted({b for b in (sketch[i] or [0.0]) if abs(b) != infinite}) or [0.0]
+        values = frame.select(_present(frame, name).alias("value")).where(F.col("value").isNotNull())
+        cut = Bucketizer(splits=[-infinite, *borders, infinite], inputCol="value", outputCol="range")
+        counted.append(
+            cut.transform(values.groupBy("value").agg(F.count("*").alias("n")))
+            .select(F.lit(name).alias("column"), "range", "value", "n")
+        )
+    counts = reduce(DataFrame.union, counted)
+
+    by_range = Window.partitionBy("column")
+    before = by_range.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("column", "range").agg(F.sum("n").alias("rows")).select(
+        "column", "range", "rows",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"),
+        F.sum("rows").over(by_range).alias("total"),
+    )
+    spots = F.array(*[(F.col("total") - 1) * F.lit(c) for c in cuts])
+    ranks = F.array_distinct(F.flatten(F.transform(
+        spots, lambda h: F.array(F.floor(h).cast("long"), F.ceil(h).cast("long")))))
+    wanted = totals.select(
+        "column", "range", "before", "total",
+        F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("rows"))).alias("ranks"),
+    ).where(F.size("ranks") > 0)
+
+    running = Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = counts.join(wanted, ["column", "range"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(running)
+    )
+    hits = ordered.select(
+        "column", "total", "value",
+        F.explode(F.filter("ranks", lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))).alias("rank"),
     )
+    by_rank = hits.groupBy("column", "total").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
+    )
+
+    def quantile(h):
+        low = F.element_at("at", F.floor(h).cast("long"))
+        high = F.element_at("at", F.ceil(h).cast("long"))
+        return F.when(low == high, low).otherwise(low + (high - low) * (h - F.floor(h)))
+
+    return by_rank.select("column", F.transform(spots, quantile).alias("q"))
 
 
 def top_categories(frame: DataFrame, column: str, limit: int = 10) -> DataFrame:

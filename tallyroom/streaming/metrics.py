@@ -46,41 +46,48 @@ def distinct_users(how: str) -> Column:
     raise ValueError("distinct is 'exact' or 'approximate'")
 
 
-def topic_metrics(records: DataFrame, distinct: str = "exact") -> DataFrame:
+def _exact_by_user(timed: DataFrame, by: list, groups: list) -> DataFrame:
+    """Totals with exact users by two chained aggregates: per user, then counted.
+
+    A busy topic is spread over its users instead of growing one set.
+    """
+    per_user = timed.groupBy(*by, "user_id").agg(
+        F.sum("score").alias("total"), F.count("score").alias("scored"), F.count("*").alias("n")
+    )
+    return per_user.groupBy(*groups).agg(
+        F.sum("total").alias("score_total"), F.sum("scored").alias("attempts"),
+        F.sum("n").alias("events"), F.count("user_id").alias("active_users"),
+    )
+
+
+def topic_metrics(records: DataFrame, distinct: str | None = None) -> DataFrame:
     """Unbounded form: every group stays open, so results are complete but state only grows.
 
     For `complete` or `update` output. Rows without a readable time form a group
-    with NULL date and hour.
+    with NULL date and hour. Users are exact on a static frame. A stream takes no
+    chained aggregates in these modes; it counts them by a sketch of fixed size,
+    or, on request (`exact`), by one set of users per hour, topic and action.
     """
     ts = F.col("event_timestamp")
-    return _finish(
-        timed_records(records)
-        .withColumns({"event_date": F.to_date(ts), "event_hour": hour_label(ts)})
-        .groupBy(*KEYS)
-        .agg(*_measures(distinct_users(distinct)))
-    )
+    timed = timed_records(records).withColumns({"event_date": F.to_date(ts), "event_hour": hour_label(ts)})
+    if not records.isStreaming and distinct in (None, "exact"):
+        return _finish(_exact_by_user(timed, KEYS, KEYS))
+    return _finish(timed.groupBy(*KEYS).agg(*_measures(distinct_users(distinct or "approximate"))))
 
 
 def windowed_topic_metrics(records: DataFrame, watermark: str = "1 hour",
                            distinct: str = "exact") -> DataFrame:
     """Bounded form: hour windows, emitted once the watermark has passed their end.
 
-    Exact users come from two chained aggregates (per user, then counted), so the
-    state of a busy topic is spread over its users instead of one growing set.
+    Exact users come from two chained aggregates, which this output mode allows.
     """
     hours = F.window("event_timestamp", "1 hour").alias("window")
     timed = timed_records(records, watermark)
-    groups = ["window", "topic", "action_type"]
+    by, groups = [hours, "topic", "action_type"], ["window", "topic", "action_type"]
     if distinct == "exact":
-        per_user = timed.groupBy(hours, "topic", "action_type", "user_id").agg(
-            F.sum("score").alias("total"), F.count("score").alias("scored"), F.count("*").alias("n")
-        )
-        grouped = per_user.groupBy(*groups).agg(
-            F.sum("total").alias("score_total"), F.sum("scored").alias("attempts"),
-            F.sum("n").alias("events"), F.count("user_id").alias("active_users"),
-        )
+        grouped = _exact_by_user(timed, by, groups)
     else:
-        grouped = timed.groupBy(hours, "topic", "action_type").agg(*_measures(distinct_users(distinct)))
+        grouped = timed.groupBy(*by).agg(*_measures(distinct_users(distinct)))
     start = F.col("window.start")
     return _finish(grouped.withColumns({"event_date": F.to_date(start), "event_hour": hour_label(start)}))
 

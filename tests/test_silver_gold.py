@@ -84,6 +84,12 @@ def test_cube_is_independent_of_partitioning(log):
     assert a == b
 
 
+def test_cube_and_single_events_give_the_same_tables(log):
+    events = silver.log_events(log, "x")
+    for table in (gold.topic_metrics, gold.user_engagement, gold.daily_activity, gold.hourly_activity, gold.recommendation_features):
+        assert sorted(map(str, rows(table(gold.measured_events(events))))) == sorted(map(str, rows(table(gold.activity_cube(events)))))
+
+
 def _cube_of(frame, *counts):
     return frame(
         "user_id string, topic string, event_hour timestamp, event_type string, events long, scored long, score_total double, "

@@ -135,6 +135,23 @@ def test_numeric_summary_modes(frame):
         profiling.numeric_summary(data.select("s"))
 
 
+@pytest.mark.parametrize("values", [
+    [3.0], [1.0, 2.0], [5.0] * 40 + [1.0, 9.0], [float(i * 7919 % 1009) / 3 for i in range(1500)],
+    [float(i % 3) for i in range(1000)] + [float("inf"), float("-inf")], [-1e300, 0.0, 1e300],
+])
+def test_exact_quantiles_equal_the_sorted_list(frame, values):
+    data = frame("a double, b double", *[(v, None) for v in values], (float("nan"), None))
+    got = {r["column"]: r["q"] for r in profiling.exact_quantile_arrays(
+        data.repartition(5), ["a", "b"], [0.0, 0.25, 0.5, 0.75, 1.0], ranges=20).collect()}
+    assert set(got) == {"a"}
+    ordered = sorted(values)
+    for q, value in zip([0.0, 0.25, 0.5, 0.75, 1.0], got["a"]):
+        h = (len(ordered) - 1) * q
+        low, high = ordered[int(h)], ordered[min(int(h) + 1, len(ordered) - 1)]
+        expected = low if h == int(h) else low + (high - low) * (h - int(h))
+        assert value == pytest.approx(expected)
+
+
 def test_validation(frame):
     data = frame("g string, v double", ("a", 1.0), (None, 2.0), ("a", 3.0))
     assert rows(profiling.aggregate_metrics(data, "g", "v", "sum")) == [("a", 4.0), (None, 2.0)]
