@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.binding import rows_of
 from ..operators import answers, questions, retrieval, topics
 from .registry import query, rounded
 from .text_queries import _list, sentences_sql, strip_sql, tokens_sql, units_sql, words_sql
@@ -167,8 +168,8 @@ def query_terms(t):
   x AS (SELECT conv_id, turn, question, terms, unnest(u) AS unit, CAST(generate_subscripts(u, 1) - 1 AS INTEGER) AS pos FROM p)
   SELECT conv_id, turn, pos, {rounded(unit_score_sql('terms', 'question', 'unit'), 6)} AS score FROM x""")
 def unit_score(t):
-    rows = _pairs(t).withColumn("terms", answers.query_terms(F.col("question"))).select(
-        "conv_id", "turn", "question", "terms", F.posexplode(text.units(F.col("reply"))).alias("pos", "unit"))
+    pairs = _pairs(t).withColumn("terms", answers.query_terms(F.col("question")))
+    rows = rows_of(pairs, ["conv_id", "turn", "question", "terms"], text.units(F.col("reply")), "unit", "pos")
     return rows.select(
         "conv_id", "turn", "pos", answers.unit_score(F.col("terms"), F.col("question"), F.col("unit")).alias("score"))
 
@@ -190,7 +191,7 @@ def page_units(t):
         F.concat("question", F.lit(" page 3")))
     documents = t.doc_texts.select(F.col("doc_id").alias("conv_id"), F.col("text").alias("document_text"))
     rows = answers.best_units_from_pages(_pairs(t).withColumn("question", asked).join(documents, "conv_id"))
-    return rows.select("conv_id", "turn", F.posexplode("units").alias("i", "u")).select(
+    return rows_of(rows, ["conv_id", "turn"], F.col("units"), "u", "i").select(
         "conv_id", "turn", (F.col("i") + 1).alias("rank"), F.col("u.text").alias("unit"), "u.score")
 
 

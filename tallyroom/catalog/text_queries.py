@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.binding import rows_of
 from ..operators import questions as question_ops, ranking, summaries, topics
 from ..plans import ingest
 from .registry import query, rounded
@@ -126,7 +127,7 @@ def sentences(t):
 
 @query("j6_question_sentences", f"WITH {sentence_table(8)} SELECT doc_id, CAST(pos AS INTEGER) AS pos, sentence FROM sent")
 def question_sentences(t):
-    return t.doc_texts.select("doc_id", F.posexplode(text.question_sentences(F.col("text"))).alias("pos", "sentence"))
+    return rows_of(t.doc_texts, ["doc_id"], text.question_sentences(F.col("text")), "sentence", "pos")
 
 
 _NOISE = r"(?i)(?:\broll\s*no\b|\bteam\s+members?\b|\bcourse\b|\bbtech\b|\bsubmitted\s+by\b|\bdepartment\b|\bstudent\b|\bguide\b|\bmentor\b|\bname\s*:)"
@@ -151,7 +152,7 @@ def units_sql(value):
 @query("j7_units", f"""SELECT doc_id, unnest(u) AS unit, CAST(generate_subscripts(u, 1) - 1 AS INTEGER) AS pos FROM
   (SELECT doc_id, {units_sql('text')} AS u FROM documents)""")
 def units(t):
-    return t.doc_texts.select("doc_id", F.posexplode(text.units(F.col("text"))).alias("pos", "unit"))
+    return rows_of(t.doc_texts, ["doc_id"], text.units(F.col("text")), "unit", "pos")
 
 
 @query("j8_noise_lines", rf"""SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE {noise_sql('line')}) AS n_noise FROM
@@ -338,7 +339,7 @@ def important_sql(value):
 
 @query("k11_important_words", f"""WITH {sentence_table(8)} SELECT doc_id, CAST(pos AS INTEGER) AS pos, array_to_string({important_sql('sentence')}, ' ') AS important FROM sent""")
 def important_words(t):
-    rows = t.doc_texts.select("doc_id", F.posexplode(text.question_sentences(F.col("text"))).alias("pos", "s"))
+    rows = rows_of(t.doc_texts, ["doc_id"], text.question_sentences(F.col("text")), "s", "pos")
     return rows.select("doc_id", "pos", F.array_join(text.important_words(F.col("s")), " ").alias("important"))
 
 
@@ -348,7 +349,7 @@ def important_words(t):
     lambda p: regexp_replace(p, '^[ ,;:-]+|[ ,;:-]+$', '', 'g')), lambda p: len({words_sql('p')}) >= 3) AS cl FROM sent)
   SELECT doc_id, CAST(pos AS INTEGER) AS pos, regexp_replace(coalesce(cl[1], sentence), '\.+$', '') || '.' AS fact FROM c""")
 def concise_fact(t):
-    rows = t.doc_texts.select("doc_id", F.posexplode(text.question_sentences(F.col("text"))).alias("pos", "s"))
+    rows = rows_of(t.doc_texts, ["doc_id"], text.question_sentences(F.col("text")), "s", "pos")
     return rows.select("doc_id", "pos", text.concise_fact(F.col("s")).alias("fact"))
 
 
@@ -356,7 +357,7 @@ def concise_fact(t):
   WHERE n_sentences <= 5 OR (pos % greatest(1, n_sentences // 5) = 0 AND pos // greatest(1, n_sentences // 5) < 5)""")
 def sample_evenly(t):
     numbered = F.transform(text.question_sentences(F.col("text")), lambda s, i: F.struct(i.alias("pos"), s.alias("sentence")))
-    rows = t.doc_texts.select("doc_id", F.explode(question_ops.sample_evenly(numbered, 5)).alias("s"))
+    rows = rows_of(t.doc_texts, ["doc_id"], question_ops.sample_evenly(numbered, 5), "s")
     return rows.select("doc_id", "s.pos", "s.sentence")
 
 

@@ -1,8 +1,8 @@
-"""Evaluate a column expression once and refer to it many times."""
+"""Evaluate an expensive column expression once."""
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -13,3 +13,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     such a lambda. Binding the value to a lambda variable prevents both.
     """
     return F.transform(F.array(value), lambda bound: body(bound))[0]
+
+
+def rows_of(frame: DataFrame, columns: list, array: Column, name: str, pos: str | None = None) -> DataFrame:
+    """One row per element of `array`, next to `columns`; `pos` also names its 0-based position.
+
+    An inner explode makes the optimizer test the array for emptiness beforehand,
+    which computes an expensive array expression again. The outer form with the
+    padding rows removed gives the same rows and computes it once.
+    """
+    place = pos or "__pos"
+    rows = frame.select(*columns, F.posexplode_outer(array).alias(place, name)).where(F.col(place).isNotNull())
+    return rows if pos else rows.drop(place)

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text
+from ..functions.binding import rows_of
 from ..operators import silver, tables
 
 
@@ -21,7 +22,7 @@ def described_uploads(uploads: DataFrame) -> DataFrame:
 def document_chunks(documents: DataFrame, key: str, column: str, length: int = 1800,
                     overlap: int = 250) -> DataFrame:
     """One row per chunk with its 0-based number."""
-    return documents.select(key, F.posexplode(text.chunks(F.col(column), length, overlap)).alias("chunk_no", "chunk"))
+    return rows_of(documents, [key], text.chunks(F.col(column), length, overlap), "chunk", "chunk_no")
 
 
 def upload_records(described: DataFrame) -> DataFrame:
