@@ -255,12 +255,33 @@ def page_lines(t):
 # ---- topics and summaries -----------------------------------------------------------
 
 
-@query("j17_topics")
+_MASKED = r"regexp_replace(regexp_replace(sentence, '[^\x00-\x7F\P{L}]', '_', 'g'), '[^\x00-\x7F\P{N}]', '_', 'g')"
+_PHRASE = r"\b[A-Z][A-Za-z0-9+-]{2,}(?:\s+[A-Z][A-Za-z0-9+-]{2,})*\b"
+_TITLED = (
+    "array_to_string(list_transform(range(1, length(w) + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_matches(w[i - 1], '[a-z]') "
+    "THEN upper(w[i]) ELSE w[i] END), '')"
+)
+_DROPPED = f"""(len(kept) >= 8 OR length(x[1]) < 4 OR list_contains({_list(text.RANKING_STOP_WORDS)}, lower(x[1]))
+    OR len(list_filter(kept, lambda k: lower(k) = lower(x[1]))) > 0
+    OR (len({words_sql('x[1]')}) = 1 AND (list_contains(covered, lower(x[1]))
+        OR len(list_filter(kept, lambda k: contains(lower(k), lower(x[1])) OR contains(lower(x[1]), lower(k)))) > 0)))"""
+
+
+@query("j17_topics", f"""WITH {sentence_table()},
+  found AS (SELECT doc_id, pos, list_filter(regexp_extract_all({_MASKED}, '{_PHRASE}'), lambda p: len({words_sql('p')}) <= 5
+      AND NOT list_contains({_list(text.RANKING_STOP_WORDS)}, lower(p))) AS phrases,
+    list_filter({tokens_sql('sentence')}, lambda t: length(t) > 5) AS longs FROM sent),
+  cand AS (SELECT doc_id, unnest(phrases) AS topic, 2 AS w, pos * 10000000 + generate_subscripts(phrases, 1) AS place FROM found
+    UNION ALL SELECT doc_id, {_TITLED}, 1, place FROM
+      (SELECT doc_id, unnest(longs) AS w, pos * 10000000 + 5000000 + generate_subscripts(longs, 1) AS place FROM found)),
+  ordered AS (SELECT doc_id, list(topic ORDER BY r) AS l FROM (SELECT doc_id, topic, row_number() OVER (PARTITION BY doc_id
+    ORDER BY sum(w) DESC, min(place)) AS r FROM cand GROUP BY 1, 2 QUALIFY r <= 24) GROUP BY 1),
+  cov AS (SELECT doc_id, l, flatten(list_transform(list_filter(l, lambda t: len({words_sql('t')}) > 1), lambda t: {words_sql('lower(t)')})) AS covered FROM ordered)
+  SELECT doc_id, array_to_string(list_reduce(list_transform(l, lambda t: [t]),
+    lambda kept, x: CASE WHEN {_DROPPED} THEN kept ELSE list_concat(kept, x) END, CAST([] AS VARCHAR[])), '|') AS topics FROM cov""")
 def extract_topics(t):
-    return topics.extract_topics(t.doc_texts, ["doc_id"], "text")
-
-
-_TOPIC_HITS = f"""l_topic AS (SELECT doc_id, text, lower(source[1:2]) || 'c' AS never, {sentences_sql('text')} AS l FROM documents)"""
+    rows = topics.extract_topics(t.doc_texts, ["doc_id"], "text")
+    return rows.withColumn("topics", F.array_join("topics", "|"))
 
 
 @query("j18_topic_sentences", f"""WITH d AS (SELECT doc_id, unnest(['the', 'and of', 'la']) AS topic, {sentences_sql('text')} AS l FROM documents),
@@ -275,9 +296,6 @@ def topic_sentences(t):
         "doc_id", "topic", F.array_join(topics.topic_sentences(F.col("l"), F.col("topic")), "|").alias("related"))
 
 
-_DEFINES = r"(?i)\b(?:is|refers to|defined as|means)\b"
-
-
 @query("j19_key_insights", rf"""WITH {merged_sql(4, 4)},
   nota AS (SELECT doc_id, sentence, min(pos) AS pos FROM sent WHERE regexp_matches(sentence, '(?i)(?:^|[^\p{{L}}\p{{N}}_])(?:is|refers to|defined as|means)(?:[^\p{{L}}\p{{N}}_]|$)')
     OR regexp_matches(sentence, '(?:^|[^\p{{L}}\p{{N}}_])\d+(?:\.\d+)?(?:[^\p{{L}}\p{{N}}_]|$)') GROUP BY 1, 2
