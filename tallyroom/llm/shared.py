@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Executors need not have this package: what runs in their Python workers travels by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,11 +42,6 @@ def fold(doc_id: str, count: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % count
 
 
-def words(text: Column) -> Column:
-    """The words of a text as an array; NULL gives none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
-
-
 def kept(name: str, build: Callable):
     """An object that a Python worker builds once and keeps over its tasks."""
     shelf = sys.modules.setdefault("_tallyroom_kept", types.ModuleType("_tallyroom_kept"))
@@ -87,8 +82,3 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
-
-def first_rows(frame: DataFrame, keys: list, order: list, count: int) -> DataFrame:
-    """The first rows of each key; Spark puts a group limit in front of the shuffle."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return frame.withColumn("__place", F.row_number().over(window)).where(F.col("__place") <= count).drop("__place")

@@ -1,0 +1,33 @@
+import pytest
+from compare import differences
+from conftest import DATA
+
+import __spark_entry__
+from tallyroom.llm import queries
+
+
+def test_all_are_registered():
+    names = __spark_entry__.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert set(queries.QUERIES) | {"pipeline"} <= set(names)
+    assert set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_same_rows_as_sql(spark, name):
+    problem = differences(queries.QUERIES[name](spark, DATA), queries.ORACLES[name], DATA)
+    assert problem is None, problem
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op7_nnls_packing", "op8_graph_neighbours"}))
+def test_one_row_for_each_input_row(spark, name):
+    frame = queries.QUERIES[name](spark, DATA)
+    table, key = ("pages", "page_id") if name.startswith("op6") else ("documents", "doc_id")
+    ids = [r[0] for r in spark.read.parquet(f"{DATA}/{table}.parquet").select(key).collect()]
+    assert sorted(r[0] for r in frame.select(key).collect()) == sorted(ids)
+
+
+def test_native_queries_have_no_python(spark):
+    for name in ("op3_line_cleaning", "op4_markov_secrets"):
+        plan = queries.QUERIES[name](spark, DATA)._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
