@@ -8,7 +8,7 @@ of white space. Parts repeat a lot, so a worker keeps what it worked out for the
 import re
 import sys
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 from pyspark import cloudpickle
 
@@ -43,8 +43,11 @@ class Parts:
         if not new:
             return
         if len(known) + len(new) > self.limit:
+            # The first learned are mostly the most frequent: those stay.
+            stay = list(islice(known.items(), self.limit // 2))
             known.clear()
-            new = parts
+            known.update(stay)
+            new = parts.difference(known)
         stems = {p: p[:-1] for p in new if len(p) > 1 and p[-1] in _MARKS and p[-2].isalpha()}
         marks = {p[-1] for p in stems}.difference(self.plain)
         self.plain.update(zip(marks, self.encode(list(marks)), strict=True))
@@ -65,8 +68,8 @@ class Parts:
 
     def _of_group(self, group: list[str]) -> Iterator[bytes]:
         # A text with single white space only is cut at spaces and in front of line ends.
-        cut = [_PART.findall(t) if _DOUBLE.search(t) else t.replace("\n", " \n").split(" ") for t in group]
         single = [_DOUBLE.search(t) is None for t in group]
+        cut = [t.replace("\n", " \n").split(" ") if s else _PART.findall(t) for t, s in zip(group, single, strict=True)]
         self._learn(self.spaced, set(chain.from_iterable(c[1:] for c, s in zip(cut, single, strict=True) if s)), " ")
         self._learn(self.plain, set(chain.from_iterable(c[:1] if s else c for c, s in zip(cut, single, strict=True))) - {""}, "")
         for parts, s in zip(cut, single, strict=True):
