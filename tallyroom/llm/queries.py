@@ -18,7 +18,7 @@ SURROGATE_KEY = b"a deployment sets its own key"
 LINE_CLEANING_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
          string_split(coalesce(text, ''), chr(10)) AS lines
   FROM documents),
 windows AS (
@@ -32,10 +32,10 @@ counted AS (
   SELECT d.doc_id, len(words) AS n_words,
          length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-         len(list_filter(lines, l -> regexp_matches(l, '[^\x20\x09-\x0D]')))
-           - len(list_distinct(list_filter(lines, l -> regexp_matches(l, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         len(list_filter(lines, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
+           - len(list_distinct(list_filter(lines, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
          coalesce(c.n, 0) AS n_repeat_words,
-         coalesce(list_sum(list_transform(list_filter(lines, l ->
+         coalesce(list_sum(list_transform(list_filter(lines, lambda l:
            len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) = 0 OR (
              (len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) >= 6
               OR regexp_matches(l, '[.!?:;,\x{2026}\x{3002}\x{FF01}\x{FF1F}]["'')\]\x{201D}\x{2019}\x{00BB}]*[\x20\x09-\x0D]*$'))
@@ -43,7 +43,7 @@ counted AS (
              AND len(regexp_extract_all(l, '(?:^|[\x20\x09-\x0D])(?:[|>/\x{00BB}\x{203A}\x{2022}\x{00B7}]|>>)(?:[\x20\x09-\x0D]|$)'))
                  <= 0.2 * len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
              AND NOT regexp_matches(l, '(?i)(all rights reserved|cookie policy|privacy policy|terms of (use|service)|accept (all )?cookies|enable javascript|subscribe to our newsletter|sign in to continue|skip to (main )?content|lorem ipsum)'))),
-           l -> length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')))), 0) AS left_chars
+           lambda l: length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')))), 0) AS left_chars
   FROM docs d LEFT JOIN covered c USING (doc_id))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
