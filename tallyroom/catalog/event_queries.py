@@ -73,7 +73,7 @@ def lake_rows(t):
   coalesce(topic, 'general') AS topic, event_type AS action_type, CAST(NULL AS DOUBLE) AS score
   FROM ev ORDER BY event_id DESC LIMIT 5000""")
 def history_records(t):
-    rows = zones.history_records(t.table_events)
+    rows = zones.history_records(t.table_events, limit=5000)
     return _plain(rows.withColumn("event_timestamp", F.try_to_timestamp("timestamp"))).drop("timestamp", "metadata")
 
 

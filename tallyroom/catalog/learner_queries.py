@@ -194,14 +194,14 @@ def activity_feed(t):
 @query("g7_first_messages", f"""WITH {CHAT} SELECT session_id, id, role,
   CAST(row_number() OVER (PARTITION BY session_id ORDER BY id) AS INTEGER) AS position, '1' AS meta FROM messages QUALIFY position <= 50""")
 def first_messages(t):
-    rows = learners.first_messages(t.chat_messages)
+    rows = learners.first_messages(t.chat_messages, limit=50)
     return rows.select("session_id", "id", "role", "position", F.col("retrieval_metadata")["k"].alias("meta"))
 
 
 @query("g7_shown_messages", f"""WITH {CHAT}, f AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY id) AS position FROM messages QUALIFY position <= 40)
   SELECT session_id, id, CAST(row_number() OVER (PARTITION BY session_id ORDER BY position DESC) AS INTEGER) AS from_end FROM f QUALIFY from_end <= 12""")
 def shown_messages(t):
-    return learners.shown_messages(t.chat_messages).select("session_id", "id", "from_end")
+    return learners.shown_messages(t.chat_messages, loaded=40, shown=12).select("session_id", "id", "from_end")
 
 
 @query("g7_sessions_newest", f"WITH {CHAT} SELECT id, user_id, title, updated_at FROM sessions")

@@ -113,9 +113,9 @@ def pages(t):
     return rows.select("conv_id", "turn", "p.page_number", "p.text")
 
 
-@query("j5_detect_language", r"""SELECT doc_id, CASE WHEN length(regexp_replace(substr(text, 1, 3000), '[^\x00-\x7F]', '', 'g'))
-  / greatest(length(substr(text, 1, 3000)), 1) > 0.97 THEN 'en'
-  WHEN regexp_matches(substr(text, 1, 3000), '[\x{0900}-\x{097F}]') THEN 'hi' ELSE 'unknown' END AS language FROM documents""")
+@query("j5_detect_language", r"""SELECT doc_id, CASE WHEN length(regexp_replace(text, '[^\x00-\x7F]', '', 'g'))
+  / greatest(length(text), 1) > 0.97 THEN 'en'
+  WHEN regexp_matches(text, '[\x{0900}-\x{097F}]') THEN 'hi' ELSE 'unknown' END AS language FROM documents""")
 def detect_language(t):
     return t.doc_texts.select("doc_id", text.detect_language(F.col("text")).alias("language"))
 

@@ -168,9 +168,12 @@ def title_case(value: Column) -> Column:
     return F.regexp_replace(F.initcap(apart), "\x01 ", "")
 
 
-def detect_language(value: Column) -> Column:
-    """`en` for nearly pure ASCII, `hi` for Devanagari, else `unknown`; by the first 3000 characters."""
-    sample = F.substring(value, 1, 3000)
+def detect_language(value: Column, sample_chars: int | None = None) -> Column:
+    """`en` for nearly pure ASCII, `hi` for Devanagari, else `unknown`.
+
+    Judges the whole text, or its first `sample_chars` characters if a bound is given.
+    """
+    sample = value if sample_chars is None else F.substring(value, 1, sample_chars)
     plain = F.length(F.regexp_replace(sample, r"[^\x00-\x7F]", ""))
     share = plain / F.greatest(F.length(sample), F.lit(1))
     return (

@@ -177,28 +177,41 @@ def model_input(features: DataFrame) -> DataFrame:
     return features.fillna({"avg_score": 0.0, "interaction_count": 0, "time_spent_seconds": 0})
 
 
-def student_clusters(features: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """K-means cluster of every (user, topic) row; -1 when all rows are alike or there are none."""
+def student_clusters(features: DataFrame, k: int = 3, seed: int = 42, method: str = "auto") -> DataFrame:
+    """K-means cluster of every (user, topic) row.
+
+    "auto" gives cluster -1 to all rows when they are alike or there are none, since k-means
+    needs two different points; "model" fits in any case.
+    """
+    if method not in ("auto", "model"):
+        raise ValueError("method is 'auto' or 'model'")
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
     names = ["interaction_count", "avg_score", "time_spent_seconds"]
     filled = model_input(features)
     # Too few different points for k centres leaves nothing to cluster.
-    if filled.select(*names).distinct().limit(2).count() < 2:
+    if method == "auto" and filled.select(*names).distinct().limit(2).count() < 2:
         return filled.withColumn("cluster_id", F.lit(-1))
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(filled)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id").fit(vectors)
     return model.transform(vectors).drop("features")
 
 
-def performance_predictions(features: DataFrame, fit_from_rows: int = 4) -> DataFrame:
-    """Predicted score by linear regression on count and time, or by formula for few rows."""
+def performance_predictions(features: DataFrame, method: str = "auto", fit_from_rows: int = 4) -> DataFrame:
+    """Predicted score by linear regression on count and time ("model") or by formula ("formula").
+
+    "auto" takes the formula below `fit_from_rows` rows, where a regression means nothing.
+    """
+    if method not in ("auto", "model", "formula"):
+        raise ValueError("method is 'auto', 'model' or 'formula'")
+    if method == "formula":
+        return formula_predictions(features)
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
     filled = model_input(features)
-    if filled.limit(fit_from_rows).count() < fit_from_rows:
+    if method == "auto" and filled.limit(fit_from_rows).count() < fit_from_rows:
         return formula_predictions(features)
     assembler = VectorAssembler(
         inputCols=["interaction_count", "time_spent_seconds"], outputCol="features"
@@ -216,10 +229,14 @@ def formula_predictions(features: DataFrame) -> DataFrame:
     )
 
 
-def gold_tables(cube: DataFrame, documents: DataFrame) -> dict:
-    """All nine Gold tables from the cube of timed events and the Silver documents."""
+def gold_tables(cube: DataFrame, documents: DataFrame, features: DataFrame | None = None) -> dict:
+    """All nine Gold tables from the cube of timed events and the Silver documents.
+
+    `features` are the recommendation features as written before, which the models then
+    read instead of rolling them up again.
+    """
     metrics = topic_metrics(cube)
-    features = recommendation_features(cube)
+    features = recommendation_features(cube) if features is None else features
     return {
         "topic_metrics": metrics,
         "user_engagement": user_engagement(cube),

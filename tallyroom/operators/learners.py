@@ -413,7 +413,7 @@ def sessions_for_document(sessions: DataFrame, document_id: Column) -> DataFrame
     return keep_or_fall_back(sessions, ["user_id"], F.col("document_id") == document_id)
 
 
-def first_messages(messages: DataFrame, limit: int = 50) -> DataFrame:
+def first_messages(messages: DataFrame, limit: int) -> DataFrame:
     """First messages of each session by id, with the retrieval metadata as a map."""
     meta = F.from_json(F.coalesce("retrieval_metadata", F.lit("{}")), "map<string,string>")
     return ranked(messages, ["session_id"], [F.asc("id")], limit, "position").withColumn(
@@ -421,7 +421,7 @@ def first_messages(messages: DataFrame, limit: int = 50) -> DataFrame:
     )
 
 
-def shown_messages(messages: DataFrame, loaded: int = 40, shown: int = 12) -> DataFrame:
+def shown_messages(messages: DataFrame, loaded: int, shown: int) -> DataFrame:
     """The last `shown` of the first `loaded` messages of each session, in order."""
     first = ranked(messages, ["session_id"], [F.asc("id")], loaded, "position")
     return ranked(first, ["session_id"], [F.desc("position")], shown, "from_end")

@@ -1,19 +1,23 @@
 """Sinks: Bronze/Silver/Gold zones, the raw lake, log fan-out, exports, run reports."""
 
+import datetime
 import os
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .. import schemas
 from ..functions.clocks import parse_ts
 
 
 def write_zone(frames: dict, root, partition_by: dict | None = None) -> dict:
-    """Overwrite one parquet table per frame below `root`; returns name -> path."""
+    """Overwrite one parquet table per frame below `root`; returns name -> path.
+
+    A partitioned table is replaced whole: partitions without new rows go as well.
+    """
     written = {}
     for name, frame in frames.items():
         target = os.path.join(root, name)
-        writer = frame.write.mode("overwrite")
+        writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
         keys = (partition_by or {}).get(name)
         if keys:
             writer = writer.partitionBy(*keys)
@@ -32,32 +36,52 @@ def write_bronze(logs: dict, tables: dict, root) -> dict:
     }
 
 
+def now_text() -> str:
+    """The present moment as records write it, fixed once for all writes of a batch."""
+    return datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")
+
+
+def stamped(records: DataFrame, now: str | None = None) -> DataFrame:
+    """Records in which a missing or empty timestamp is taken as now."""
+    stamp = F.coalesce(F.nullif(F.col("timestamp"), F.lit("")), F.lit(now or now_text()))
+    return records.withColumn("timestamp", stamp)
+
+
+def local_day(stamp: Column) -> Column:
+    """The calendar day written in a timestamp's own text (its offset cut off), NULL if unreadable."""
+    local = F.regexp_replace(stamp, r"^([^ T]+[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?).*$", "$1")
+    return F.when(parse_ts(stamp).isNotNull(), F.to_date(parse_ts(local)))
+
+
 def lake_rows(records: DataFrame, event_type) -> DataFrame:
-    """Records with the lake's folder columns; a missing timestamp is taken as now.
+    """Records with the lake's folder columns, which are NULL where the timestamp can't be read.
 
-    The folder is the calendar day written in the record's own text, so an offset
-    in the timestamp does not move it to another day.
+    The folder is the calendar day of the record's own text, so an offset in the
+    timestamp does not move it to another day. A missing timestamp is taken as now.
     """
     kind = event_type if not isinstance(event_type, str) else F.lit(event_type)
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
-    stamp = F.coalesce(F.nullif(F.col("timestamp"), F.lit("")), now)
-    readable = parse_ts(stamp).isNotNull()
-    return (
-        records.withColumn("timestamp", stamp)
-        .where(readable)
-        .withColumns({
-            "event_type": kind,
-            "year": F.substring("timestamp", 1, 4),
-            "month": F.substring("timestamp", 6, 2),
-            "day": F.substring("timestamp", 9, 2),
-        })
-    )
+    day = local_day(F.col("timestamp"))
+    return stamped(records).withColumns({
+        "event_type": kind, "year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM"),
+        "day": F.date_format(day, "dd"),
+    })
 
 
-def append_to_lake(records: DataFrame, event_type, root) -> None:
-    """Append JSON files under event_type=/year=/month=/day=; part files never collide."""
+def append_to_lake(records: DataFrame, event_type, root, rejects=None) -> int:
+    """Append JSON files under event_type=/year=/month=/day=; part files never collide.
+
+    Records with an unreadable timestamp go, with the reason, to the folder `rejects`
+    (by default next to the lake); returns how many there were.
+    """
     rows = lake_rows(records, event_type)
-    rows.write.mode("append").partitionBy("event_type", "year", "month", "day").json(os.fspath(root))
+    rows.where(F.col("year").isNotNull()).write.mode("append").partitionBy("event_type", "year", "month", "day").json(
+        os.fspath(root))
+    refused = rows.where(F.col("year").isNull()).drop("year", "month", "day").withColumn(
+        "reason", F.lit("unreadable timestamp"))
+    seen = Observation("rejected")
+    refused.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").json(
+        os.fspath(rejects) if rejects else f"{os.fspath(root).rstrip('/')}_rejects")
+    return seen.get["rows"]
 
 
 def event_type_of_log(file_name) -> "F.Column":
@@ -71,11 +95,12 @@ def publish_events(records: DataFrame, log_name: str, logs_dir, micro_batch_dir,
                    kafka_options: dict | None = None) -> None:
     """Send one batch of records to the log, the micro-batch folder, the lake and, if set, Kafka.
 
-    The records are persisted for the duration, so the upstream plan runs once.
+    The records are persisted for the duration, so the upstream plan runs once. A missing
+    time is filled in before the writes, so all copies of a record agree.
     """
     layout = [c for c in schemas.LOG_LAYOUTS[log_name] if c in records.columns]
     file_name = schemas.LOG_FILES[log_name]
-    batch = records.select(*layout).persist()
+    batch = stamped(records.select(*layout)).persist()
     try:
         batch.write.mode("append").json(os.path.join(logs_dir, file_name))
         batch.write.mode("append").json(os.fspath(micro_batch_dir))
@@ -88,10 +113,10 @@ def publish_events(records: DataFrame, log_name: str, logs_dir, micro_batch_dir,
         batch.unpersist()
 
 
-def history_records(events: DataFrame, limit: int = 5000) -> DataFrame:
-    """Newest `limit` table events as log records for a backfill of the lake."""
+def history_records(events: DataFrame, limit: int | None = None) -> DataFrame:
+    """Table events as log records for a backfill of the lake: all, or the newest `limit`."""
     topics = F.from_json("topics_json", "array<string>")
-    newest = events.orderBy(F.desc("id")).limit(limit)
+    newest = events if limit is None else events.orderBy(F.desc("id")).limit(limit)
     return newest.select(
         F.coalesce(F.col("user_id").cast("string"), F.lit("")).alias("user_id"),
         F.col("created_at").alias("timestamp"),
@@ -105,8 +130,9 @@ def history_records(events: DataFrame, limit: int = 5000) -> DataFrame:
     )
 
 
-def backfill_lake(events: DataFrame, root, limit: int = 5000) -> None:
-    append_to_lake(history_records(events, limit), "historical_activity", root)
+def backfill_lake(events: DataFrame, root, limit: int | None = None) -> int:
+    """Backfill the lake; returns how many records went to the rejects."""
+    return append_to_lake(history_records(events, limit), "historical_activity", root)
 
 
 def export_rows(tables: dict, name: str, user_id=None) -> DataFrame:

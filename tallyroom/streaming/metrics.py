@@ -6,11 +6,13 @@ equal.
 
 import os
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.clocks import hour_label, parse_ts
 from ..functions.numbers import difficulty, mean
 
+#: Folder names of the complete table's versions.
+VERSION = "batch-"
 KEYS = ["event_date", "event_hour", "topic", "action_type"]
 
 
@@ -60,19 +62,19 @@ def _exact_by_user(timed: DataFrame, by: list, groups: list) -> DataFrame:
     )
 
 
-def topic_metrics(records: DataFrame, distinct: str | None = None) -> DataFrame:
+def topic_metrics(records: DataFrame, distinct: str = "exact") -> DataFrame:
     """Unbounded form: every group stays open, so results are complete but state only grows.
 
     For `complete` or `update` output. Rows without a readable time form a group
-    with NULL date and hour. Users are exact on a static frame. A stream takes no
-    chained aggregates in these modes; it counts them by a sketch of fixed size,
-    or, on request (`exact`), by one set of users per hour, topic and action.
+    with NULL date and hour. Users are exact unless a sketch of fixed size is asked
+    for (`approximate`). A stream takes no chained aggregates in these modes, so there
+    the exact form keeps one set of users per hour, topic and action.
     """
     ts = F.col("event_timestamp")
     timed = timed_records(records).withColumns({"event_date": F.to_date(ts), "event_hour": hour_label(ts)})
-    if not records.isStreaming and distinct in (None, "exact"):
+    if not records.isStreaming and distinct == "exact":
         return _finish(_exact_by_user(timed, KEYS, KEYS))
-    return _finish(timed.groupBy(*KEYS).agg(*_measures(distinct_users(distinct or "approximate"))))
+    return _finish(timed.groupBy(*KEYS).agg(*_measures(distinct_users(distinct))))
 
 
 def windowed_topic_metrics(records: DataFrame, watermark: str = "1 hour",
@@ -104,16 +106,39 @@ def _trigger(writer, trigger):
 
 
 def start_complete(metrics: DataFrame, path, checkpoint, trigger: str | None = "5 seconds"):
-    """Keep a parquet table equal to the complete result; every batch replaces it."""
+    """Keep the complete result as parquet; every batch writes a version of its own.
+
+    `read_complete` reads the newest finished version, so readers never meet a missing or
+    half-written table, and a repeated batch replaces its own version only. The version
+    before the newest stays for readers that have just opened it; older ones go.
+    """
     target = os.fspath(path)
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/{VERSION}{batch_id}")
+        for version in _versions(batch.sparkSession, target)[:-2]:
+            folder = batch.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/{VERSION}{version}")
+            folder.getFileSystem(batch.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
     writer = metrics.writeStream.outputMode("complete").foreachBatch(replace)
     return _trigger(writer.option("checkpointLocation", os.fspath(checkpoint)), trigger).start()
 
 
+def _versions(spark: SparkSession, target: str) -> list[int]:
+    """Finished versions, oldest first."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/{VERSION}*/_SUCCESS")
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(root) or []
+    return sorted(int(f.getPath().getParent().getName().removeprefix(VERSION)) for f in found)
+
+
+def read_complete(spark: SparkSession, path) -> DataFrame:
+    """The newest finished version of a table kept by `start_complete`."""
+    versions = _versions(spark, os.fspath(path))
+    if not versions:
+        raise FileNotFoundError(f"no finished version in {path}")
+    return spark.read.parquet(f"{os.fspath(path)}/{VERSION}{versions[-1]}")
+
+
 def start_append(metrics: DataFrame, path, checkpoint, trigger: str | None = "5 seconds"):
     """Append every closed hour to a parquet table, partitioned by day."""
     writer = metrics.writeStream.outputMode("append").format("parquet").partitionBy("event_date")

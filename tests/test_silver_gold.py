@@ -120,6 +120,10 @@ def test_models(frame, spark):
     assert sorted(rows(few, "predicted_score")) == sorted(rows(gold.formula_predictions(features.limit(3)), "predicted_score"))
     assert rows(gold.student_clusters(features.limit(1)), "cluster_id") == [(-1,)]
     assert gold.student_clusters(features.limit(0)).isEmpty()
+    assert sorted(rows(gold.performance_predictions(features, "formula"))) == sorted(rows(gold.formula_predictions(features)))
+    for table in (gold.performance_predictions, gold.student_clusters):
+        with pytest.raises(ValueError):
+            table(features, method="other")
 
 
 def test_number_rules(one):

@@ -43,8 +43,10 @@ def test_lake_round_trip_and_pruning(spark, tmp_path):
     source = spark.read.schema(schemas.LOG_RECORD).json(_lines(str(tmp_path / "in.json"), [
         _record(), _record(timestamp="2024-03-02T23:30:00-05:00"), _record(timestamp="2024-04-01T00:00:00Z"),
         _record(timestamp=None), _record(timestamp="rubbish")]))
-    zones.append_to_lake(source, "quiz", lake)
-    zones.append_to_lake(source.limit(1), "chat", lake)
+    assert zones.append_to_lake(source, "quiz", lake) == 1
+    assert zones.append_to_lake(source.limit(1), "chat", lake) == 0
+    refused = spark.read.json(lake + "_rejects")
+    assert rows(refused, "timestamp", "event_type", "reason") == [("rubbish", "quiz", "unreadable timestamp")]
     everything = batch.read_event_lake(spark, lake)
     assert everything.count() == 5
     assert os.path.isdir(os.path.join(lake, "event_type=quiz", "year=2024", "month=03", "day=02"))
@@ -54,6 +56,25 @@ def test_lake_round_trip_and_pruning(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan.replace("\n", "")
 
 
+def test_folders_come_from_the_parsed_day(spark, tmp_path):
+    stamps = ["2024-1-5 10:00:00", "2024", "2024-01", "2024-02-29T23:59:59.5+14:00", "2024-02-30", ""]
+    source = spark.createDataFrame([_record(timestamp=t) for t in stamps], schemas.LOG_RECORD)
+    got = rows(zones.lake_rows(source, "quiz"), "year", "month", "day")
+    assert got[:5] == [("2024", "01", "05"), ("2024", "01", "01"), ("2024", "01", "01"), ("2024", "02", "29"), (None, None, None)]
+    assert None not in got[5]
+    lake = str(tmp_path / "lake")
+    assert zones.append_to_lake(source, "quiz", lake) == 1
+    assert batch.read_event_lake(spark, lake).count() == 5
+    assert batch.read_event_lake(spark, lake, datetime.date(2024, 1, 5), datetime.date(2024, 1, 5)).count() == 1
+
+
+def test_partitioned_zones_are_replaced_whole(spark, tmp_path):
+    for values in (["x", "y"], ["x"]):
+        frame = spark.createDataFrame([(v, 1) for v in values], "p string, n int")
+        path = zones.write_zone({"t": frame}, str(tmp_path), {"t": ["p"]})["t"]
+    assert rows(spark.read.parquet(path), "p") == [("x",)]
+
+
 def test_tables_and_gold_absent_or_present(spark, tmp_path):
     assert batch.read_operational_table(spark, tmp_path, "events").schema == schemas.OPERATIONAL["events"]
     assert batch.read_gold(spark, tmp_path, "topic_metrics").isEmpty()

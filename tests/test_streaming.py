@@ -28,12 +28,12 @@ def _batch(spark, folder):
 def test_complete_output_equals_batch_across_a_restart(spark, tmp_path):
     source, out, check = (str(tmp_path / p) for p in ("in", "out", "check"))
     _drop(source, "1.json", *FIRST)
-    run = lambda: metrics.start_complete(metrics.topic_metrics(streams.file_stream(spark, source), "exact"), out, check, None)
+    run = lambda: metrics.start_complete(metrics.topic_metrics(streams.file_stream(spark, source)), out, check, None)
     run().awaitTermination()
-    assert sorted(rows(spark.read.parquet(out))) == sorted(rows(_batch(spark, source)))
+    assert sorted(rows(metrics.read_complete(spark, out))) == sorted(rows(_batch(spark, source)))
     _drop(source, "2.json", *SECOND)
     run().awaitTermination()
-    got = sorted(rows(spark.read.parquet(out)))
+    got = sorted(rows(metrics.read_complete(spark, out)))
     assert got == sorted(rows(_batch(spark, source)))
     assert (datetime.date(2024, 1, 1), "2024-01-01 10:00:00", "a", "quiz", 70.0, 3, 4, 2, 48.28) in got
 
@@ -66,7 +66,8 @@ def test_files_per_trigger(spark, tmp_path):
         metrics.topic_metrics(streams.file_stream(spark, source, 3)), str(tmp_path / "out"), str(tmp_path / "check"), None)
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 3
-    assert rows(spark.read.parquet(str(tmp_path / "out")), "events", "active_users") == [(21, 2)]
+    assert len([d for d in os.listdir(tmp_path / "out") if d.startswith("batch-")]) == 2
+    assert rows(metrics.read_complete(spark, tmp_path / "out"), "events", "active_users") == [(21, 2)]
 
 
 def test_repeats_inside_the_watermark_are_dropped(spark, tmp_path):
@@ -96,6 +97,6 @@ def test_trigger_interval_is_passed_on(spark, tmp_path):
         metrics.topic_metrics(streams.event_stream(spark, folder=source)), str(tmp_path / "out"), str(tmp_path / "check"), "1 second")
     try:
         query.processAllAvailable()
-        assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+        assert metrics.read_complete(spark, tmp_path / "out").count() == 1
     finally:
         query.stop()

@@ -46,12 +46,16 @@ def test_strip_page_markers(one):
 
 @pytest.mark.parametrize("value, expected", [
     ("plain ascii", "en"), ("नमस्ते दुनिया", "hi"), ("éèêëéèêë", "unknown"), ("", "unknown"),
-    ("a" * 3000 + "é" * 500, "en"),
+    ("a" * 3000 + "é" * 500, "unknown"),
 ])
 def test_detect_language(one, value, expected):
     assert one(text.detect_language(F.lit(value))) == expected
 
 
+def test_detect_language_by_a_sample(one):
+    assert one(text.detect_language(F.lit("a" * 3000 + "é" * 500), sample_chars=3000)) == "en"
+
+
 @pytest.mark.parametrize("name, topic, suffix", [
     ("deep_learning-notes.PDF", "deep learning notes", ".pdf"), ("_.txt", "general_document", ".txt"),
     ("a.b.txt", "a.b", ".txt"), ("plain", "plain", ""), (".hidden", ".hidden", ""),
