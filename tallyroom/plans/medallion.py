@@ -8,14 +8,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators import gold, silver
-from ..sinks.zones import write_bronze, write_zone
+from ..operators.tables import report_event
+from ..sinks.zones import append_rows, write_bronze, write_zone
 from ..sources.batch import load_logs, load_tables
 
 LARGE_SCALE_FROM = 1_000_000
-PREVIEWS = [
-    "topic_metrics", "user_engagement", "daily_activity", "student_clusters",
-    "performance_predictions", "learning_recommendations",
-]
+#: Previewed Gold tables with the order of their rows ("-": descending); a written table has no order of its own.
+PREVIEWS = {
+    "topic_metrics": ["-difficulty_score", "-attempts", "-events", "topic"],
+    "user_engagement": ["-total_events", "-avg_score", "user_id"],
+    "daily_activity": ["event_date"],
+    "student_clusters": ["user_id", "topic"],
+    "performance_predictions": ["user_id", "topic"],
+    "learning_recommendations": ["-difficulty_score", "-attempts", "topic"],
+}
+PREVIEW_ROWS = 15
+ARCHITECTURE = {
+    "flow": "event logs, lake and tables -> Bronze -> Silver -> activity cube -> Gold -> report",
+    "formats": {"raw": "json", "bronze": "parquet", "silver": "parquet", "gold": "parquet"},
+}
 REPORT_NAME = "end_to_end_batch"
 
 
@@ -75,6 +86,11 @@ def _read_back(spark: SparkSession, written: dict, schemas: dict) -> dict:
     return {name: spark.read.schema(schemas[name]).parquet(path) for name, path in written.items()}
 
 
+def _first_rows(frame: DataFrame, order: list) -> list:
+    columns = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
+    return frame.orderBy(*columns).limit(PREVIEW_ROWS).collect()
+
+
 def report_row(spark: SparkSession, report: dict) -> DataFrame:
     """The report as a one-row frame: scalar columns, nested parts as JSON text."""
     flat = {
@@ -92,9 +108,12 @@ def scale_class(events: int) -> str:
     return "large_scale" if events >= LARGE_SCALE_FROM else "medium_scale"
 
 
-def run(spark: SparkSession, root, table_format: str = "parquet", use_metadata: bool = False) -> dict:
+def run(spark: SparkSession, root, table_format: str = "parquet", use_metadata: bool = False,
+        event_table=None) -> dict:
     """Run the whole flow under `root` and return the report, which is also written there.
 
+    With `event_table` the report is also appended to that table, as a row of events.
+
     Each zone is written once and read back, so no later step recomputes an
     earlier one, and a lost executor costs at most the work since the last zone.
     Row counts are observed during the writes instead of counted again.
@@ -107,10 +126,13 @@ def run(spark: SparkSession, root, table_format: str = "parquet", use_metadata:
         failed = {
             "report_name": REPORT_NAME, "status": "failed", "records_processed": 0,
             "processing_seconds": round(time.perf_counter() - started, 2), "error": str(error),
+            "architecture": ARCHITECTURE,
         }
         write_report(spark, failed, where.reports)
         raise
     write_report(spark, report, where.reports)
+    if event_table is not None:
+        append_rows(report_event(report_row(spark, report)), event_table)
     return report
 
 
@@ -136,8 +158,13 @@ def _run(spark, where, table_format, use_metadata, started) -> dict:
     cube = gold.activity_cube(timed)
     cube_path = write_zone({"activity_cube": cube}, where.silver)
     cube = _read_back(spark, cube_path, {"activity_cube": cube.schema})["activity_cube"]
-    gold_tables = gold.gold_tables(cube, clean["documents"])
-    gold_paths = write_zone(gold_tables, where.gold)
+    # The models fit on the features as written, not on another roll-up of the cube.
+    features = gold.recommendation_features(cube)
+    feature_path = write_zone({"recommendation_features": features}, where.gold)
+    features = _read_back(spark, feature_path, {"recommendation_features": features.schema})["recommendation_features"]
+    gold_tables = gold.gold_tables(cube, clean["documents"], features)
+    del gold_tables["recommendation_features"]
+    gold_paths = feature_path | write_zone(gold_tables, where.gold)
 
     processed = _total(event_counts)
     seconds = round(time.perf_counter() - started, 2)
@@ -145,6 +172,8 @@ def _run(spark, where, table_format, use_metadata, started) -> dict:
     return {
         "report_name": REPORT_NAME,
         "status": "completed",
+        "architecture": ARCHITECTURE,
+        "source_paths": {"logs": where.logs, "tables": where.tables, "raw_event_lake": where.lake},
         "bronze_paths": bronze_paths,
         "silver_paths": silver_paths,
         "gold_paths": gold_paths,
@@ -155,7 +184,7 @@ def _run(spark, where, table_format, use_metadata, started) -> dict:
         "records_per_second": round(processed / seconds, 2) if seconds > 0 else 0.0,
         "scale_classification": scale_class(processed),
         **{
-            f"{n}_preview": [row.asDict() for row in frame.limit(15).collect()]
+            f"{n}_preview": [row.asDict() for row in _first_rows(frame, PREVIEWS[n])]
             for n, frame in stored.items()
         },
     }

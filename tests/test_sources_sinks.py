@@ -186,8 +186,11 @@ def test_batch_run_end_to_end(spark, tmp_path):
     assert batch.read_gold(spark, f"{root}/gold", "document_usage").isEmpty()
     stored = json.loads(spark.read.text(f"{root}/reports/end_to_end_batch").first()["value"])
     assert stored["topic_metrics_preview"][0]["topic"] == "python"
+    assert set(stored["source_paths"]) == {"logs", "tables", "raw_event_lake"} and stored["architecture"]["flow"]
+    assert len(os.listdir(f"{root}/gold")) == 9
     # A second run over the same input replaces the zones and gives the same Gold.
-    medallion.run(spark, root)
+    medallion.run(spark, root, event_table=f"{root}/run_events")
+    assert rows(spark.read.parquet(f"{root}/run_events"), "event_type", "activity_type") == [("pipeline_report", "pipeline")]
     assert batch.read_gold(spark, f"{root}/gold", "topic_metrics").first() == metrics
     row = medallion.report_row(spark, report)
     from tallyroom.operators.tables import report_event
@@ -195,6 +198,15 @@ def test_batch_run_end_to_end(spark, tmp_path):
     assert (event["user_id"], event["activity_type"], event["event_type"]) == (None, "pipeline", "pipeline_report")
 
 
+def test_previews_are_in_the_order_of_their_tables(spark, tmp_path):
+    records = [_record(topic=t, score=s) for t, s in (("b", 90.0), ("a", 10.0), ("c", 50.0), ("d", 10.0))]
+    _lines(f"{tmp_path}/logs/quiz_logs.json", records)
+    report = medallion.run(spark, str(tmp_path))
+    hardest = [r["difficulty_score"] for r in report["topic_metrics_preview"]]
+    assert len(hardest) == 4 and hardest == sorted(hardest, reverse=True)
+    assert [r["topic"] for r in report["student_clusters_preview"]] == ["a", "b", "c", "d"]
+
+
 def test_failed_run_leaves_a_report(spark, tmp_path):
     with pytest.raises(Exception):
         medallion.run(spark, str(tmp_path), table_format="no_such_format")
