@@ -214,11 +214,12 @@ def silver_union(t):
 @query("d2_union_missing_columns", f"""WITH {EV} SELECT CAST(user_id AS VARCHAR) AS user_id, topic, score,
   CASE WHEN event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END AS quiz_id,
   CASE WHEN event_type = 'click' THEN CAST(k AS VARCHAR) END AS meta_k
-  FROM ev WHERE event_type IN ('purchase', 'view', 'click')""")
+  FROM ev""")
 def union_missing_columns(t):
     from ..schemas import LOG_LAYOUTS
     from ..sources.batch import combine_logs
     layouts = {name: t.logs[name].select(*columns) for name, columns in LOG_LAYOUTS.items()}
+    layouts["event_lake"] = t.logs["event_lake"].drop("metadata", "quiz_id")
     return combine_logs(layouts).select("user_id", "topic", "score", "quiz_id", F.col("metadata")["k"].alias("meta_k"))
 
 

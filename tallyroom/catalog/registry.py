@@ -143,10 +143,10 @@ class Tables:
 
     @cached_property
     def chat_sessions(self) -> DataFrame:
-        """One session per conversation that has a user turn at its start."""
+        """One session per conversation."""
         return self.table("conversations").groupBy("conv_id").agg(
-            F.min("turn").alias("first_turn"), F.max("turn").alias("turns"), F.min_by("role", "turn").alias("role")
-        ).where(F.col("role") == "user").select(
+            F.max("turn").alias("turns")
+        ).select(
             F.col("conv_id").alias("id"), (F.col("conv_id") % 10).alias("user_id"),
             F.col("turns").alias("document_id"), F.concat(F.lit("title "), "conv_id").alias("title"),
             F.when(F.col("turns") < 4, F.concat(F.lit("topic"), "turns")).alias("topic"),
@@ -184,5 +184,4 @@ sessions AS (
   SELECT conv_id AS id, conv_id % 10 AS user_id, turns AS document_id, 'title ' || CAST(conv_id AS VARCHAR) AS title,
          CASE WHEN turns < 4 THEN 'topic' || CAST(turns AS VARCHAR) END AS topic,
          '2024-01-01 00:00:00' AS created_at, '2024-01-01 00:00:00' AS updated_at
-  FROM (SELECT conv_id, max(turn) AS turns, arg_min(role, turn) AS role FROM conversations GROUP BY conv_id)
-  WHERE role = 'user')"""
+  FROM (SELECT conv_id, max(turn) AS turns FROM conversations GROUP BY conv_id))"""

@@ -178,17 +178,20 @@ def study_session_rows(t):
 # ---- profiling ----------------------------------------------------------------------
 
 
-@query("h1_profile", f"""WITH {EV}, p AS (SELECT user_id, event_type, topic, score FROM ev)
-  SELECT (SELECT count(*) FROM p) AS rows, 4 AS columns,
-    (SELECT count(*) FILTER (WHERE topic IS NULL) + count(*) FILTER (WHERE score IS NULL) FROM p) AS missing_cells,
+_EVENT_COLUMNS = ["event_id", "user_id", "ts", "event_type", "value", "props", "k", "topic", "score"]
+
+
+@query("h1_profile", f"""WITH {EV}, p AS (SELECT {', '.join(_EVENT_COLUMNS)} FROM ev)
+  SELECT (SELECT count(*) FROM p) AS rows, {len(_EVENT_COLUMNS)} AS columns,
+    (SELECT {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in _EVENT_COLUMNS)} FROM p) AS missing_cells,
     (SELECT count(*) FROM p) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p)) AS duplicate_rows,
-    'user_id,score' AS numeric_columns, 'event_type,topic' AS other_columns,
-    'user_id:bigint,event_type:string,topic:string,score:double' AS column_types""")
+    'event_id,user_id,value,k,score' AS numeric_columns, 'ts,event_type,props,topic' AS other_columns,
+    'event_id:bigint,user_id:bigint,ts:timestamp_ntz,event_type:string,value:double,props:string,k:int,topic:string,score:double' AS column_types""")
 def profile(t):
-    return profiling.profile(t.events.select("user_id", "event_type", "topic", "score"))
+    return profiling.profile(t.events)
 
 
-_COLUMNS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _summary_sql(column, table):
@@ -210,7 +213,7 @@ def _rounded_summary(frame):
 
 @query("h2_numeric_summary", " UNION ALL ".join(_summary_sql(c, "lineitem") for c in _COLUMNS))
 def numeric_summary(t):
-    return _rounded_summary(profiling.numeric_summary(t.table("lineitem").select(*_COLUMNS)))
+    return _rounded_summary(profiling.numeric_summary(t.table("lineitem")))
 
 
 @query("h2_numeric_summary_missing", f"WITH {EV} " + " UNION ALL ".join(_summary_sql(c, "ev") for c in ("value", "score")))
@@ -243,7 +246,7 @@ _PAIRS = [(a, b) for a in _COLUMNS for b in _COLUMNS]
     f"SELECT '{a}' AS column_a, '{b}' AS column_b, {rounded(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))', 6)} AS correlation FROM lineitem"
     for a, b in _PAIRS))
 def correlation_matrix(t):
-    rows = profiling.correlation_matrix(t.table("lineitem").select(*_COLUMNS))
+    rows = profiling.correlation_matrix(t.table("lineitem"))
     return rows.withColumn("correlation", round_half_up(F.col("correlation"), 6))
 
 

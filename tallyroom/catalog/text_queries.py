@@ -393,14 +393,14 @@ def build_questions(t):
     return question_ops.build_questions(t.doc_texts, "doc_id", "text", 5)
 
 
-@query("k15_check_questions", r"""WITH q AS (SELECT conv_id, turn, role, regexp_replace(substr(text, 1, turn * 20), '^\s+|\s+$', '', 'g') AS question FROM conversations)
+@query("k15_check_questions", r"""WITH q AS (SELECT conv_id, turn, role, regexp_replace(CASE WHEN turn > 0 THEN text ELSE ' ' END, '^\s+|\s+$', '', 'g') AS question FROM conversations)
   SELECT conv_id, turn, CASE WHEN question = '' THEN 'no question' WHEN role = 'system' THEN 'no answer'
     WHEN role = 'assistant' AND turn > 3 THEN 'answer is not True or False' WHEN role = 'user' AND turn > 1 THEN 'not four options' END AS reject_reason FROM q""")
 def check_questions(t):
     turn = F.col("turn")
     rows = t.table("conversations").select(
         "conv_id", "turn", F.when(F.col("role") == "assistant", "true_false").alias("type"),
-        F.substring("text", F.lit(1), turn.cast("int") * 20).alias("question"),
+        F.when(turn > 0, F.col("text")).otherwise(" ").alias("question"),
         F.when(F.col("role") == "system", "  ").when(turn > 3, "Maybe").otherwise("True").alias("answer"),
         F.when(turn > 1, F.array(F.lit("a"))).otherwise(F.array(*[F.lit(c) for c in "abcd"])).alias("options"),
         F.lit(None).cast("string").alias("difficulty"), F.lit(None).cast("string").alias("skill_level"),
