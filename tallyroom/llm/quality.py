@@ -150,16 +150,23 @@ def lasso(features: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 400
     return plain, b - float(plain @ features.mean(axis=0))
 
 
-def fit(texts: DataFrame, text: str, label: str, max_rows: int = 8_000, penalty: float = 2e-3) -> RuleEnsemble:
-    """Learns from at most `max_rows` rows with label 0 or 1, the first by a hash of text and label.
-
-    Their statistics, not their texts, come to the driver. Rows with a NULL label are left
-    out. Without rows, or with one label only, the score is a constant: 0.5, or nearly that label.
+def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+        max_rows: int = 8_000, penalty: float = 2e-3) -> RuleEnsemble:
+    """Learns from at most `max_rows` labelled documents, the first by a hash of their key.
+
+    Keys are sampled first, so only the statistics of sampled documents are computed and
+    come to the driver, and no text is shuffled. Labels other than 0 and 1 and NULL keys are
+    left out. Without rows, or with one label only, the score is a constant: 0.5, or nearly
+    that label.
     """
-    rows = texts.select(F.col(text).alias("__t"), F.col(label).cast("double").alias("__y")).where(
-        F.col("__y").isin(0.0, 1.0)).orderBy(F.xxhash64("__t", "__y")).limit(max_rows)
+    known = labels.select(F.col(key).alias("__k"), F.col(label).cast("double").alias("__y")).where(
+        F.col("__y").isin(0.0, 1.0)).distinct()
+    order = [F.xxhash64("__k"), F.col("__k"), F.col("__y")]
+    sampled = documents.select(F.col(key).alias("__k")).distinct().join(known, "__k").orderBy(*order).limit(max_rows)
     stats = statistics(F.col("__t"))
-    data = rows.select("__y", *[c.alias(n) for n, c in stats.items()]).toPandas()
+    rows = documents.select(F.col(key).alias("__k"), F.col(text).alias("__t")).join(F.broadcast(sampled), "__k").select(
+        "__k", "__y", F.xxhash64("__t").alias("__h"), *[c.alias(n) for n, c in stats.items()])
+    data = rows.orderBy(*order, "__h").limit(max_rows).toPandas()
     names, y = list(stats), data["__y"].to_numpy()
     if not len(y):
         return RuleEnsemble((), 0.0)

@@ -30,7 +30,7 @@ def test_held_out_accuracy_and_python_agreement(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     joined = docs.join(labels, "doc_id").select("doc_id", "text", "quality").cache()
-    model = quality.fit(joined.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0"), "text", "quality", max_rows=2000)
+    model = quality.fit(docs, labels.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0"), max_rows=2000)
     assert 0 < len(model.rules) < 200
     held = quality.scored(joined.where("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0"), model)
     rows = held.select("quality", "score", *[c.alias(n) for n, c in quality.statistics(F.col("text")).items()]).toPandas()
@@ -42,9 +42,10 @@ def test_held_out_accuracy_and_python_agreement(spark):
 
 
 def test_without_labels_or_with_one_label(spark):
-    frame = spark.createDataFrame([("a b", None), ("c d", None)], "text string, quality int")
-    assert quality.fit(frame, "text", "quality") == quality.RuleEnsemble((), 0.0)
-    ones = spark.createDataFrame([("a b", 1), (None, 1)], "text string, quality int")
-    out = quality.scored(ones.selectExpr("*", "1 as n_words", "2 as symbols"), quality.fit(ones, "text", "quality")).collect()
-    assert all(r["score"] > 0.99 and r["n_words"] == 1 for r in out)
-    assert quality.scored(ones.limit(0), quality.RuleEnsemble((), 0.0)).count() == 0
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (2, None), (None, "c")], "doc_id long, text string")
+    none = spark.createDataFrame([(1, None), (None, 1), (9, 1)], "doc_id long, quality int")
+    assert quality.fit(docs, none) == quality.RuleEnsemble((), 0.0)
+    ones = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    out = quality.scored(docs.selectExpr("*", "1 as n_words", "2 as symbols"), quality.fit(docs, ones)).collect()
+    assert all(r["score"] > 0.99 and r["n_words"] == 1 for r in out) and len(out) == 4
+    assert quality.scored(docs.limit(0), quality.RuleEnsemble((), 0.0)).count() == 0
