@@ -44,7 +44,7 @@ _TITLES = "|".join(sorted(TITLES, key=len, reverse=True))
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞА-Я][\w'’-]*[^\W\d_]"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NUMBERS = re.compile("|".join((
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)",
+    r"(?P<email>(?<![\w.%+-])[\w.%+-]++@[\w-]+(?:\.[\w-]+)+)",
     rf"(?P<ip>(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d))",
     r"(?P<iban>\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)",
     r"(?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
