@@ -8,7 +8,7 @@ from tallyroom.catalog import all_queries
 from tallyroom.catalog.registry import Tables
 
 QUERIES = all_queries()
-PYTHON_NODES = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroups")
+PYTHON_NODES = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroups", "FlatMapCoGroups")
 # These score queries against chunks in batches inside the tasks.
 IN_PANDAS = {"e3_lexical_candidates", "k2_lexical_top_k", "e4_nearest_vectors", "k3_vector_top_k", "k4_retrieve",
              "k8_units_from_chunks", "k9_answer_questions"}
@@ -29,10 +29,26 @@ def test_stays_in_the_jvm_without_cross_joins(spark, name):
 @pytest.mark.parametrize("name", sorted(IN_PANDAS))
 def test_retrieval_has_no_cross_join_either(spark, name):
     text = plan(QUERIES[name](spark, DATA))
-    assert "MapInPandas" in text
+    assert "FlatMapCoGroupsInPandas" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_retrieval_runs_nothing_while_it_is_built(spark, frame):
+    from tallyroom.operators import retrieval
+
+    few = frame("query_id long, query string, embedding array<float>", (1, "a b", [1.0]))
+    many = frame("query_id long, query string, embedding array<float>", *[(i, "a b", [1.0]) for i in range(2000)])
+    chunks = frame("chunk_id long, text string, embedding array<float>", (1, "a b", [1.0]))
+    context = spark.sparkContext
+    context.setJobGroup("building", "retrieval plans")
+    try:
+        sizes = [plan(retrieval.retrieve(q, chunks)).count("\n") for q in (few, many)]
+        assert not context.statusTracker().getJobIdsForGroup("building")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert sizes[0] == sizes[1]
+
+
 @pytest.mark.parametrize("name", ["g1_recent_rows", "g3_last_result", "g6_activity_feed", "d8_cached_questions", "g7_first_messages"])
 def test_top_k_is_cut_before_the_shuffle(spark, name):
     text = plan(QUERIES[name](spark, DATA))
