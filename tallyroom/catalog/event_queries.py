@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text
+from ..functions.numbers import round_half_up
 from ..operators import dashboards, gold, silver
 from ..plans import medallion
 from ..sinks import zones
@@ -369,9 +370,17 @@ def student_clusters(t):
     return gold.student_clusters(gold.recommendation_features(_measures(t)))
 
 
-@query("h10_performance_predictions")
+@query("h10_performance_predictions", f"""WITH {_SILVER}, {_FEATURES},
+  x AS (SELECT user_id, topic, CAST(interaction_count AS DOUBLE) AS a, CAST(coalesce(time_spent_seconds, 0) AS DOUBLE) AS b,
+    coalesce(avg_score, 0.0) AS y FROM features),
+  m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab,
+    covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM x),
+  w AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM m)
+  SELECT user_id, topic, {rounded("my + wa * (a - ma) + wb * (b - mb)", 4)} AS predicted_score FROM x, w""")
 def performance_predictions(t):
-    return gold.performance_predictions(gold.recommendation_features(_measures(t)))
+    features = gold.recommendation_features(_measures(t))
+    rows = gold.performance_predictions(features, method="model")
+    return rows.select("user_id", "topic", round_half_up(F.col("predicted_score"), 4).alias("predicted_score"))
 
 
 @query("h11_formula_predictions", f"""WITH {_SILVER}, {_FEATURES} SELECT user_id, topic, interaction_count,
