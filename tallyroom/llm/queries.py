@@ -101,7 +101,7 @@ def secret_model(documents: DataFrame, most: int = 2_000) -> secrets.MarkovPair:
     values = found.select("whole", F.explode("s").alias("s")).select(
         F.substring("whole", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("token"))
     made = spark.range(most).select(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))).alias("token"))
-    words = documents.select(text.alias("whole")).orderBy(F.xxhash64("whole")).limit(most).select(
+    words = documents.select(text.alias("whole")).select(
         F.explode(F.regexp_extract_all("whole", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_-]{11,}"), F.lit(0))).alias("token"))
     samples = [(values, True), (made, True), (words, False)]
     parts = [f.select("token").distinct().orderBy(F.xxhash64("token")).limit(most).withColumn("secret", F.lit(label)) for f, label in samples]
