@@ -81,12 +81,18 @@ def registry_texts(registry: DataFrame, uploads: DataFrame) -> DataFrame:
     return registry.join(uploads.select("id", "text_content"), "id")
 
 
-def merge_uploads(uploads: DataFrame, batch: str = "batch_id", position: str = "position") -> DataFrame:
+def merge_uploads(uploads: DataFrame, batch: str = "batch_id", position: str = "position",
+                  most_files: int = 1000) -> DataFrame:
     """Combine the files of each upload batch into one document, in upload order.
 
-    A batch is what one user uploads at once (a handful of files), so the list
-    per batch is small by construction.
+    A batch is what one user uploads at once. Batches are counted before their texts are
+    gathered, and one of more than `most_files` files raises an error.
     """
+    sizes = uploads.groupBy(F.col(batch).alias("__batch")).agg(F.count("*").alias("__files"))
+    too_many = F.raise_error(F.concat(F.lit("too many files in upload batch "), F.col(batch).cast("string")))
+    uploads = uploads.join(sizes, F.col(batch).eqNullSafe(F.col("__batch"))).withColumn(
+        "filename", F.when(F.col("__files") > most_files, too_many.cast("string")).otherwise(F.col("filename"))
+    ).drop("__batch", "__files")
     header = F.concat(F.lit("===== DOCUMENT: "), "filename", F.lit(" =====\n\n"), "text_content")
     files = uploads.groupBy(batch).agg(
         F.array_sort(

@@ -86,6 +86,8 @@ def test_merge_keeps_order_and_unique_topics(frame):
     got = tables.merge_uploads(files).first()
     assert (got["filename"], got["topic"], got["language"]) == ("a.txt + b.txt + c.txt", "t, u", "en")
     assert got["text_content"].split("\n\n\n")[1] == "===== DOCUMENT: b.txt =====\n\nB"
+    with pytest.raises(Exception, match="too many files in upload batch 1"):
+        tables.merge_uploads(files, most_files=2).collect()
 
 
 def test_event_rows(frame):
