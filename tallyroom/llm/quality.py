@@ -12,37 +12,50 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import let
 from .shared import GAP
 
 SYMBOLS = r"[#*$%&|<>]"
+#: A word right behind itself.
+STUTTER = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D])"
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text; all are 0 for NULL and for texts without a word."""
-    text = F.coalesce(text, F.lit(""))
-    size = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.array_remove(F.split(text, GAP), "")
-    lines = F.split(text, "\n")
-
-    def share(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)) / size
-
-    n_words = F.size(words)
-    per_word = F.greatest(n_words, F.lit(1)).cast("double")
-    return {
-        "n_words": n_words.cast("double"),
-        "word_length": F.length(F.regexp_replace(text, GAP, "")) / per_word,
-        "distinct_words": F.size(F.array_distinct(words)) / per_word,
-        "symbols": share(SYMBOLS),
-        "capitals": share(r"\p{Lu}"),
-        "letters": share(r"\p{L}"),
-        "digits": share(r"\p{Nd}"),
-        "marks": share(r"[.,;:!?]"),
-        "exclamations": share("!"),
-        "stutter": F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D])")) / per_word,
-        "line_words": n_words / F.size(lines).cast("double"),
-        "repeated_lines": F.lit(1.0) - F.size(F.array_distinct(lines)) / F.size(lines).cast("double"),
-    }
+def statistics(text: Column) -> Column:
+    """A struct of statistics of a whole text; all are 0 for NULL and for texts without a word.
+
+    Text, words and lines are bound once, so the struct may be used in filters and lambdas
+    without being taken apart and computed again.
+    """
+    def share(pattern: str, whole: Column, size: Column) -> Column:
+        return F.regexp_count(whole, F.lit(pattern)) / size
+
+    def values(whole: Column, words: Column, lines: Column) -> Column:
+        size = F.greatest(F.length(whole), F.lit(1)).cast("double")
+        n_words = F.size(words)
+        per_word = F.greatest(n_words, F.lit(1)).cast("double")
+        per_line = F.size(lines).cast("double")
+        return F.struct(*[value.alias(name) for name, value in {
+            "n_words": n_words.cast("double"),
+            "word_length": F.length(F.regexp_replace(whole, GAP, "")) / per_word,
+            "distinct_words": F.size(F.array_distinct(words)) / per_word,
+            "symbols": share(SYMBOLS, whole, size),
+            "capitals": share(r"\p{Lu}", whole, size),
+            "letters": share(r"\p{L}", whole, size),
+            "digits": share(r"\p{Nd}", whole, size),
+            "marks": share(r"[.,;:!?]", whole, size),
+            "exclamations": share("!", whole, size),
+            "stutter": F.regexp_count(whole, F.lit(STUTTER)) / per_word,
+            "line_words": n_words / per_line,
+            "repeated_lines": F.lit(1.0) - F.size(F.array_distinct(lines)) / per_line,
+        }.items()])
+
+    return let(F.coalesce(text, F.lit("")), lambda whole: let(
+        F.array_remove(F.split(whole, GAP), ""), lambda words: let(
+            F.split(whole, "\n"), lambda lines: values(whole, words, lines))))
+
+
+NAMES = ("n_words", "word_length", "distinct_words", "symbols", "capitals", "letters", "digits", "marks", "exclamations",
+         "stutter", "line_words", "repeated_lines")
 
 
 @dataclass(frozen=True)
@@ -61,13 +74,13 @@ class Rule:
                 out &= values[name] <= high
         return out
 
-    def column(self) -> Column:
+    def column(self, stats: Column) -> Column:
         out = F.lit(True)
         for name, low, high in self.conditions:
             if low is not None:
-                out = out & (F.col(name) > low)
+                out = out & (stats[name] > low)
             if high is not None:
-                out = out & (F.col(name) <= high)
+                out = out & (stats[name] <= high)
         return out
 
 
@@ -76,11 +89,11 @@ class RuleEnsemble:
     rules: tuple[Rule, ...]
     intercept: float
 
-    def score(self) -> Column:
-        """Probability of label 1 over the columns of `statistics`."""
+    def score(self, stats: Column) -> Column:
+        """Probability of label 1 from a struct of `statistics`."""
         total = F.lit(self.intercept)
         for rule in self.rules:
-            total = total + F.when(rule.column(), F.lit(rule.weight)).otherwise(F.lit(0.0))
+            total = total + F.when(rule.column(stats), F.lit(rule.weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -163,11 +176,10 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         F.col("__y").isin(0.0, 1.0)).distinct()
     order = [F.xxhash64("__k"), F.col("__k"), F.col("__y")]
     sampled = documents.select(F.col(key).alias("__k")).distinct().join(known, "__k").orderBy(*order).limit(max_rows)
-    stats = statistics(F.col("__t"))
     rows = documents.select(F.col(key).alias("__k"), F.col(text).alias("__t")).join(F.broadcast(sampled), "__k").select(
-        "__k", "__y", F.xxhash64("__t").alias("__h"), *[c.alias(n) for n, c in stats.items()])
-    data = rows.orderBy(*order, "__h").limit(max_rows).toPandas()
-    names, y = list(stats), data["__y"].to_numpy()
+        "__k", "__y", F.xxhash64("__t").alias("__h"), statistics(F.col("__t")).alias("s"))
+    data = rows.orderBy(*order, "__h").limit(max_rows).select("__y", "s.*").toPandas()
+    names, y = list(NAMES), data["__y"].to_numpy()
     if not len(y):
         return RuleEnsemble((), 0.0)
     if y.min() == y.max():
@@ -185,11 +197,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 def scored(documents: DataFrame, model: RuleEnsemble, text: str = "text", name: str = "score") -> DataFrame:
     """Adds the score (0 to 1) of every whole text; NULL and empty texts are scored like any other.
 
-    Columns with the names of statistics pass unchanged: statistics live in a struct of their own.
+    The score is one expression with its statistics bound inside: a filter on it computes them
+    once, and columns with the names of statistics pass unchanged.
     """
-    prefix = "__stats"
-    stats = F.struct(*[c.alias(n) for n, c in statistics(F.col(text)).items()])
-    inner = documents.withColumn(prefix, stats)
-    own = RuleEnsemble(tuple(Rule(tuple((f"{prefix}.{n}", lo, hi) for n, lo, hi in r.conditions), r.weight)
-                             for r in model.rules), model.intercept)
-    return inner.withColumn(name, own.score()).drop(prefix)
+    return documents.withColumn(name, let(statistics(F.col(text)), model.score))

@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.1"
 
 def test_statistics_of_odd_texts(spark):
     frame = spark.createDataFrame([(None,), ("",), (" \n",), ("a a A#\na a A#",)], "text string")
-    rows = frame.select(*[c.alias(n) for n, c in quality.statistics(F.col("text")).items()]).collect()
+    rows = frame.select(quality.statistics(F.col("text")).alias("s")).select("s.*").collect()
     for row in rows[:3]:
         assert row["n_words"] == row["word_length"] == row["symbols"] == row["stutter"] == 0
     assert rows[3]["n_words"] == 6 and rows[3]["repeated_lines"] == 0.5 and rows[3]["symbols"] == 2 / 13
@@ -33,7 +33,8 @@ def test_held_out_accuracy_and_python_agreement(spark):
     model = quality.fit(docs, labels.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0"), max_rows=2000)
     assert 0 < len(model.rules) < 200
     held = quality.scored(joined.where("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0"), model)
-    rows = held.select("quality", "score", *[c.alias(n) for n, c in quality.statistics(F.col("text")).items()]).toPandas()
+    rows = held.select("quality", "score", quality.statistics(F.col("text")).alias("s")).select("quality", "score", "s.*").toPandas()
+    assert set(quality.NAMES) < set(rows.columns)
     assert ((rows["score"] >= 0.3) == rows["quality"]).mean() > 0.97
     values = {n: rows[n].to_numpy() for n in rows.columns}
     total = model.intercept + sum(r.weight * r.holds(values) for r in model.rules)
