@@ -89,7 +89,7 @@ def line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_model(documents: DataFrame, most: int = 2_000) -> secrets.MarkovPair:
-    """Trained on labelled tokens, at most `most` of each origin, the first by a hash.
+    """Trained on labelled tokens, at most `most` of each origin, one of each bucket of a hash.
 
     Secrets: values that the fixed patterns find, and random bytes written in base64.
     Identifiers: words of the corpus of 12 or more characters outside those spans.
@@ -104,7 +104,9 @@ def secret_model(documents: DataFrame, most: int = 2_000) -> secrets.MarkovPair:
     words = documents.select(text.alias("whole")).select(
         F.explode(F.regexp_extract_all("whole", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_-]{11,}"), F.lit(0))).alias("token"))
     samples = [(values, True), (made, True), (words, False)]
-    parts = [f.select("token").distinct().orderBy(F.xxhash64("token")).limit(most).withColumn("secret", F.lit(label)) for f, label in samples]
+    # One token of each hash bucket: a bounded sample without a sort, combined on the map side.
+    parts = [f.groupBy(F.pmod(F.xxhash64("token"), F.lit(most))).agg(F.min("token").alias("token")).select(
+        "token", F.lit(label).alias("secret")) for f, label in samples]
     return secrets.train(stored(parts[0].union(parts[1]).union(parts[2])))
 
 
