@@ -13,6 +13,8 @@ BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PACKING_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Stands in for a key that a deployment keeps secret; equal keys give equal surrogates.
 SURROGATE_KEY = b"a deployment sets its own key"
+#: What counts as an identifier when the Markov models are trained.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_-]{11,}"
 
 
 LINE_CLEANING_SQL = r"""
@@ -88,11 +90,11 @@ def line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def secret_model(documents: DataFrame, most: int = 2_000) -> secrets.MarkovPair:
-    """Trained on labelled tokens, at most `most` of each origin, one of each bucket of a hash.
+def secret_samples(documents: DataFrame, most: int = 2_000) -> DataFrame:
+    """Labelled tokens (token, secret), at most `most` of each origin: of each bucket of a hash the least by another hash.
 
     Secrets: values that the fixed patterns find, and random bytes written in base64.
-    Identifiers: words of the corpus of 12 or more characters outside those spans.
+    Identifiers: words of the corpus of 12 or more characters that touch no span of the fixed patterns.
     """
     spark = documents.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -101,13 +103,19 @@ def secret_model(documents: DataFrame, most: int = 2_000) -> secrets.MarkovPair:
     values = found.select("whole", F.explode("s").alias("s")).select(
         F.substring("whole", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("token"))
     made = spark.range(most).select(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))).alias("token"))
-    words = documents.select(text.alias("whole")).select(
-        F.explode(F.regexp_extract_all("whole", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_-]{11,}"), F.lit(0))).alias("token"))
-    samples = [(values, True), (made, True), (words, False)]
-    # One token of each hash bucket: a bounded sample without a sort, combined on the map side.
-    parts = [f.groupBy(F.pmod(F.xxhash64("token"), F.lit(most))).agg(F.min("token").alias("token")).select(
-        "token", F.lit(label).alias("secret")) for f, label in samples]
-    return secrets.train(stored(parts[0].union(parts[1]).union(parts[2])))
+    words = documents.select(text.alias("whole"), F.concat(*spans.values()).alias("base")).select(
+        F.explode(secrets.words_outside(F.col("whole"), IDENTIFIER, F.col("base"))).alias("token"))
+    # One token of each hash bucket: a bounded sample without a sort, combined on the map side. The second hash makes
+    # every distinct token of a bucket equally likely, however many there are.
+    kept = F.min(F.struct(F.xxhash64(F.lit("pick"), "token"), "token"))["token"]
+    parts = [f.groupBy(F.pmod(F.xxhash64("token"), F.lit(most))).agg(kept.alias("token")).select(
+        "token", F.lit(label).alias("secret")) for f, label in [(values, True), (made, True), (words, False)]]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def secret_model(documents: DataFrame, most: int = 2_000) -> secrets.MarkovPair:
+    """Trained on `secret_samples`."""
+    return secrets.train(stored(secret_samples(documents, most)))
 
 
 @query("op4_markov_secrets")

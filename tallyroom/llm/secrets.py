@@ -77,6 +77,14 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def words_outside(text: Column, pattern: str, spans: Column) -> Column:
+    """Matches of `pattern` that overlap none of the spans. Only texts with spans need the places of their matches."""
+    placed = F.filter(matches(text, pattern, "markov"), lambda w: ~F.exists(
+        spans, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    outside = F.transform(placed, lambda w: F.substring(text, w["start"] + 1, w["end"] - w["start"]))
+    return F.when(F.size(spans) == 0, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(outside)
+
+
 @dataclass(frozen=True)
 class MarkovPair:
     """Log-ratios (random against identifier) of all transitions, row by row, and the threshold of their mean."""

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,3 +62,35 @@ def test_redaction(spark, model):
 def test_training_without_samples(spark):
     empty = spark.createDataFrame([], "token string, secret boolean")
     assert set(secrets.train(empty).ratios) == {0.0}
+
+
+def first_letters(tokens):
+    counts = Counter(t[0] for t in tokens)
+    return {c: n / len(tokens) for c, n in counts.items()}
+
+
+def test_sampled_identifiers_start_like_the_vocabulary(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sample = [r[0] for r in queries.secret_samples(docs).where("not secret").collect()]
+    word = re.compile(queries.IDENTIFIER)
+    vocabulary = {w for r in docs.select("text").collect() for w in word.findall(r[0] or "")}
+    assert len(vocabulary) > 10 * 2000 and len(sample) == len(set(sample)) > 1900 and set(sample) <= vocabulary
+    want, got = first_letters(vocabulary), first_letters(sample)
+    assert sum(abs(want.get(c, 0) - got.get(c, 0)) for c in want | got) / 2 < 0.1
+    capital = [sum(p for c, p in d.items() if c.isupper()) for d in (want, got)]
+    assert abs(capital[0] - capital[1]) < 0.02
+
+
+def test_sampled_hex_values_start_with_any_digit(spark):
+    docs = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    found = queries.secret_samples(docs, most=200).where("secret").collect()
+    values = [r[0] for r in found if re.fullmatch("[0-9a-f]{64}", r[0])]
+    assert len(values) == 200 and first_letters(values)["0"] < 0.15 and len(first_letters(values)) > 12
+
+
+def test_identifiers_lie_outside_the_fixed_spans(spark):
+    texts = ["password: internationalization then understandingly", "mysecretpassword=abcdefgh", "é \U0001f642 anotherlongword", None,
+             "token: abc notwithstanding", "abcdefabcdefabcdefabcdefabcdef thoroughgoingly"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = {r[0] for r in queries.secret_samples(docs).where("not secret").collect()}
+    assert words == {"understandingly", "anotherlongword", "notwithstanding", "thoroughgoingly"}
