@@ -37,13 +37,21 @@ BATCH_ROWS = 50_000
 LINES = 20_000
 
 
-def tokenizer_parts(path: str) -> Parts:
-    """Parts encoded by the `tokenizers` library, as 32-bit ids; special strings are ordinary text."""
+def tokenizer_parts(path: str, added: bool = False) -> Parts:
+    """Parts encoded by the `tokenizers` library, as 32-bit ids.
+
+    With `added`, strings of added tokens are one id each, as the library's default call gives
+    them; otherwise they are ordinary text.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    own.encode_special_tokens = True  # parts never hold an added token: texts are cut around them before
+    tokens = own.get_added_tokens_decoder() if added else {}
+    if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens.values()):
+        raise ValueError("added tokens that look at their neighbours are not supported")
+    whole = {t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()}
 
     line_end, = own.encode("\n", add_special_tokens=False).ids
 
@@ -68,7 +76,7 @@ def tokenizer_parts(path: str) -> Parts:
         joined = iter(found)
         return [next(joined) if ok else next(rest) for ok in plain]
 
-    return Parts(encode)
+    return Parts(encode, whole=whole)
 
 
 def pieces(documents: DataFrame, parts: Callable[[], Parts], cache: str, doc_id: str = "doc_id", text: str = "text",

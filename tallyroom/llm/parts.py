@@ -30,11 +30,14 @@ class Parts:
     """Encodings of parts as bytes, of which about `limit` are remembered.
 
     `encode` maps a list of texts to a list of encodings; the encoding of two parts in a
-    row is the concatenation of theirs.
+    row is the concatenation of theirs. `whole` are strings with an encoding of their own
+    (added tokens): a text is cut around them first, the longest at a place, and what stands
+    before and after is encoded as a text of its own.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000, whole: dict[str, bytes] | None = None):
+        self.encode, self.limit, self.whole = encode, limit, whole or {}
+        self.around = re.compile(f"({'|'.join(map(re.escape, sorted(self.whole, key=len, reverse=True)))})")
         self.spaced: dict[str, bytes] = {}  # by the part without its leading space
         self.plain: dict[str, bytes] = {}
 
@@ -67,6 +70,15 @@ class Parts:
         yield from self._of_group(group)
 
     def _of_group(self, group: list[str]) -> Iterator[bytes]:
+        if not any(w in t for w in self.whole for t in group):
+            yield from self._of_segments(group)
+            return
+        cut = [self.around.split(t) for t in group]  # every second string is one of `whole`
+        between = self._of_segments([s for own in cut for s in own[::2]])
+        for own in cut:
+            yield b"".join(self.whole[s] if i % 2 else next(between) for i, s in enumerate(own))
+
+    def _of_segments(self, group: list[str]) -> Iterator[bytes]:
         # A text with single white space only is cut at spaces and in front of line ends.
         single = [_DOUBLE.search(t) is None for t in group]
         cut = [t.replace("\n", " \n").split(" ") if s else _PART.findall(t) for t, s in zip(group, single, strict=True)]

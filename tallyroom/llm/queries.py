@@ -150,7 +150,7 @@ def nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack(documents: DataFrame) -> DataFrame:
     path = PACKING_VOCABULARY
-    return packing.packed(documents, lambda: packing.tokenizer_parts(path), f"packing:{path}")
+    return packing.packed(documents, lambda: packing.tokenizer_parts(path, added=True), f"packing:{path}")
 
 
 @query("op8_graph_neighbours")

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -6,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tallyroom.llm import packing
+from tallyroom.llm import packing, queries
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -56,6 +57,17 @@ def test_nulls_empty_texts_and_one_length_only(spark, tokenizer):
     assert packing.packed(frame.limit(0), lambda: packing.tokenizer_parts(PATH), "test", text="t").count() == 0
 
 
+def test_added_tokens_are_as_in_an_unmodified_tokenizer(spark):
+    pick, plain = random.Random(7), Tokenizer.from_file(PATH)
+    bits = ["<|endoftext|>", "<|endoftext|", "<|", "|>", "endoftext", " ", "  ", "\n", "\t", "\u00a0", "a", "Word", "é", "don't", "12", ".", "\U0001f642"]
+    texts = ["<|endoftext|>", "a  <|endoftext|>  b", "x\n <|endoftext|>\ny", "<|endoftext|><|endoftext|>."]
+    texts += ["".join(pick.choice(bits) for _ in range(pick.randint(1, 30))) for _ in range(400)]
+    rows = list(enumerate(texts))
+    ids = {d: np.array([*plain.encode(t, add_special_tokens=False).ids, 1], "<u4") for d, t in rows}
+    assert len(ids[0]) == 2
+    check(queries.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), ids, 2048)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_never_take_more_than_there_is(seed):
     pick = np.random.default_rng(seed)
