@@ -7,12 +7,14 @@ addresses, card numbers keep their checksum's state; a given name becomes one of
 same gender and script. A permutation keeps distinct entities distinct and maps every
 mention of an entity alike, in all documents. What a permutation cannot rule out is
 checked over the corpus: a surrogate must not be an entity that occurs there, and
-entities that had to take another one must not meet. Those few travel as exceptions.
+entities that had to take another one must not meet. Those are a table of exceptions, which
+Spark joins to the texts that mention them.
 """
 
 import hashlib
 import re
 import sys
+import unicodedata
 from collections.abc import Iterator
 from math import isqrt
 
@@ -35,9 +37,13 @@ GIVEN = {
 }
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "", "Herr": "m", "Frau": "f", "Monsieur": "m",
           "Madame": "f", "Señor": "m", "Señora": "f", "Господин": "m", "Госпожа": "f"}
-CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "àáâäèéêëìíîïòóôöùúûü")
+CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "àáâäèéêëìíîïòóôöùúûü",
+           "ãåæõøýÿ", "çðñþ", "ъьё")
+#: Attempts at a surrogate, after which clashes are an error. Every eighth makes the form longer by a character.
+LAST_ATTEMPT, GROWS = 64, 8
 
 _OF = {c: group for group in CLASSES for c in group}
+_ALPHABETS = dict(_OF)
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
 _NAMES = "|".join(sorted(_GENDER, key=len, reverse=True))
 _TITLES = "|".join(sorted(TITLES, key=len, reverse=True))
@@ -77,18 +83,30 @@ def permuted(value: int, size: int, key: bytes, *tweak) -> int:
             return value
 
 
+def _alphabet(c: str) -> str:
+    """The characters that may stand for this one: its class, or letters or digits alike in its 256 code points, or none."""
+    def like(x: str) -> tuple:
+        return unicodedata.category(x), x.lower() == x, len(x.upper()) == 1 and x.upper().lower() == x
+
+    if c not in _ALPHABETS:
+        block = map(chr, range(ord(c) & ~255, (ord(c) | 255) + 1))
+        _ALPHABETS[c] = "".join(x for x in block if x not in _OF and x.isalnum() and like(x) == like(c)) if c.isalnum() else ""
+    return _ALPHABETS[c]
+
+
 def _shaped(form: str, key: bytes, *tweak) -> str:
-    """A permutation among all forms with the same classes of characters; other characters stay."""
-    value, size = 0, 1
-    for c in form:
-        if c in _OF:
-            value, size = value * len(_OF[c]) + _OF[c].index(c), size * len(_OF[c])
-    shape = "".join(str(CLASSES.index(_OF[c])) if c in _OF else c for c in form)
-    value, out = permuted(value, size, key, *tweak, shape), []
-    for c in reversed(form):
-        if c in _OF:
-            value, place = divmod(value, len(_OF[c]))
-            c = _OF[c][place]
+    """A permutation among all forms with the same alphabets of letters and digits; other characters stay."""
+    value, size, shape = 0, 1, []
+    groups = [_alphabet(c) for c in form]
+    for c, group in zip(form, groups, strict=True):
+        if group:
+            value, size = value * len(group) + group.index(c), size * len(group)
+        shape.append(str(CLASSES.index(group)) if group in CLASSES else group[:1] or c)
+    value, out = permuted(value, size, key, *tweak, "".join(shape)), []
+    for c, group in zip(reversed(form), reversed(groups), strict=True):
+        if group:
+            value, place = divmod(value, len(group))
+            c = group[place]
         out.append(c)
     return "".join(reversed(out))
 
@@ -101,8 +119,9 @@ def luhn_digit(digits: str) -> int:
 def surrogate(kind: str, form: str, key: bytes, attempt: int = 0) -> str:
     """The surrogate of a canonical form; `attempt` picks another permutation. Late attempts grow by a character."""
     tweak = (kind, attempt)
-    if attempt >= 8 and kind not in ("ip", "given"):
-        form = form + "a0"[form[-1:].isdigit()]
+    if attempt >= GROWS and kind not in ("ip", "given"):
+        body, at, domain = form.partition("@") if kind == "email" else (form, "", "")
+        form = body + "a0"[body[-1:].isdigit()] * (attempt // GROWS) + at + domain
     if kind == "ip":
         value = 0
         for part in form.split("."):
@@ -180,7 +199,11 @@ def replaced(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tup
     for start, end, kind, form in found:
         new = surrogate(kind, form, key, attempts.get((kind, form), 0))
         mention = text[start:end]
-        out += [text[at:start], new if kind == "ip" else _dressed(new.partition(":")[2] if kind == "given" else new, mention)]
+        if kind == "email":  # what is longer goes at the end of the name, not of the domain
+            new = "@".join(map(_dressed, new.split("@"), mention.split("@")))
+        elif kind != "ip":
+            new = _dressed(new.partition(":")[2] if kind == "given" else new, mention)
+        out += [text[at:start], new]
         at = end
     return "".join([*out, text[at:]]), len(found)
 
@@ -189,60 +212,73 @@ def _suspect(text: Column) -> Column:
     return F.when(text.rlike(TRACE), text)
 
 
-def exceptions(documents: DataFrame, key: bytes, text: str = "text", most: int = 200_000) -> dict[tuple[str, str], int]:
-    """Entities whose first surrogate occurs as an entity of the corpus, or meets another's; with their attempt.
-
-    Only distinct entities are shuffled. The exceptions are counted before they are
-    collected; more than `most` (a permutation of too few forms) raise an error.
-    """
+def _mentions(documents: DataFrame, text: str) -> DataFrame:
+    """(mark, kind, form): the entities of each text, which is known by a hash. Texts of one hash share their entities."""
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            own = {(kind, form) for t in batch["text"] for _, _, kind, form in entities(t)}
-            yield pd.DataFrame(sorted(own), columns=["kind", "form"])
+            own = {(mark, kind, form) for mark, t in zip(batch["mark"], batch["text"], strict=True) for _, _, kind, form in entities(t)}
+            yield pd.DataFrame(sorted(own), columns=["mark", "kind", "form"])
+
+    suspects = documents.select(F.xxhash64(text).alias("mark"), _suspect(F.col(text)).alias("text")).where("text is not null")
+    return stored(suspects.mapInPandas(find, "mark long, kind string, form string"))
+
 
+def exceptions(documents: DataFrame, key: bytes, text: str = "text") -> DataFrame:
+    """Entities (kind, form) whose first surrogate occurs as an entity of the corpus, or meets another's; with their attempt.
+
+    Only distinct entities are shuffled, and the driver sees counts. Clashes left after
+    LAST_ATTEMPT attempts raise an error.
+    """
+    return _exceptions(_mentions(documents, text), key)
+
+
+def _exceptions(mentions: DataFrame, key: bytes) -> DataFrame:
     @F.pandas_udf("string")
-    def first(kind: pd.Series, form: pd.Series, attempt: pd.Series) -> pd.Series:
+    def new_form(kind: pd.Series, form: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(k, f, key, a) for k, f, a in zip(kind, form, attempt, strict=True)], dtype=object)
 
-    known = stored(documents.select(_suspect(F.col(text)).alias("text")).where("text is not null").mapInPandas(
-        find, "kind string, form string").distinct())
+    known = stored(mentions.select("kind", "form").distinct())
     # Given names come from short lists: theirs are distinct by the list's order and may occur elsewhere.
-    state = stored(known.where("kind <> 'given'").withColumn("attempt", F.lit(0)).withColumn("new", first("kind", "form", F.lit(0))))
+    state = stored(known.where("kind <> 'given'").withColumn("attempt", F.lit(0)).withColumn("new", new_form("kind", "form", F.lit(0))))
     occurring = known.select("kind", F.col("form").alias("new"))
-    for attempt in range(1, 16):
+    attempt = 0
+    while True:
         clash = state.join(occurring, ["kind", "new"], "left_semi")
         meet = state.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "form")).alias("keeps")).where("n > 1")
         second = state.join(meet, ["kind", "new"]).where("form <> keeps.form").select(*state.columns)
-        again = clash.unionByName(second).select("kind", "form").distinct()
-        again = stored(again)
+        again = stored(clash.unionByName(second).select("kind", "form").distinct())
         count = again.count()
-        if count > most:
-            raise ValueError(f"{count} entities need another surrogate; their formats leave too few forms")
         if not count:
-            break
+            return state.where("attempt > 0").select("kind", "form", "attempt")
+        attempt += 1
+        if attempt > LAST_ATTEMPT:
+            raise ValueError(f"{count} entities still need another surrogate after {LAST_ATTEMPT} attempts; their formats leave too few forms")
         kept = state.join(again, ["kind", "form"], "left_anti")
-        moved = again.withColumn("attempt", F.lit(attempt)).withColumn("new", first("kind", "form", F.lit(attempt)))
+        moved = again.withColumn("attempt", F.lit(attempt)).withColumn("new", new_form("kind", "form", F.lit(attempt)))
         state = stored(kept.unionByName(moved))
-    rows = state.where("attempt > 0")
-    count = rows.count()
-    if count > most:
-        raise ValueError(f"{count} entities need another surrogate; their formats leave too few forms")
-    return {(r["kind"], r["form"]): r["attempt"] for r in rows.collect()}
 
 
 def with_surrogates(documents: DataFrame, key: bytes, text: str = "text", count: str = "n_entities") -> DataFrame:
     """The documents with surrogates in place of personal data, and the number of mentions replaced.
 
     NULL stays NULL with 0 mentions; texts without a trace of an entity pass untouched and
-    never reach Python. Repeated rows give equal texts; an empty table stays empty.
+    never reach Python. Repeated rows give equal texts; an empty table stays empty. Each text
+    meets the exceptions it mentions by a join, which moves texts only if those are too many to broadcast.
     """
-    attempts = documents.sparkSession.sparkContext.broadcast(exceptions(documents, key, text))
+    mentions = _mentions(documents, text)
+    found = mentions.join(_exceptions(mentions, key), ["kind", "form"])
+    other = stored(found.groupBy(F.col("mark").alias("__mark")).agg(
+        F.collect_set(F.concat_ws("\0", "kind", "attempt", "form")).alias("__other")))
 
     @F.pandas_udf("text string, n long")
-    def swap(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = [(None, 0) if t is None else replaced(t, key, attempts.value) for t in batch]
+    def swap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, others in batches:
+            done = []
+            for t, own in zip(texts, others, strict=True):
+                split = [o.split("\0", 2) for o in own] if own is not None else []
+                done.append((None, 0) if t is None else replaced(t, key, {(kind, form): int(n) for kind, n, form in split}))
             yield pd.DataFrame(done, columns=["text", "n"])
 
-    inner = documents.withColumn("__new", swap(_suspect(F.col(text))))
+    joined = documents.withColumn("__mark", F.xxhash64(text)).join(other, "__mark", "left")
+    inner = joined.withColumn("__new", swap(_suspect(F.col(text)), F.col("__other"))).drop("__mark", "__other")
     return inner.withColumn(text, F.coalesce("__new.text", F.col(text))).withColumn(count, F.coalesce("__new.n", F.lit(0))).drop("__new")

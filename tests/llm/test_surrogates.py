@@ -70,3 +70,39 @@ def test_occurring_surrogates_are_replaced(spark):
     assert s.exceptions(frame, KEY)
     new = [r["text"] for r in s.with_surrogates(frame, KEY).collect()]
     assert len(set(new)) == len(names) and not {t[4:] for t in new} & set(names)
+
+
+def test_exceptions_are_a_table_that_joins(spark):
+    names = [a + b for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"]
+    frame = spark.createDataFrame([(i, f"Mr. {n} and Mr. {names[i - 1]}") for i, n in enumerate(names)], "__id long, text string")
+    table = s.exceptions(frame, KEY)
+    assert table.columns == ["kind", "form", "attempt"] and table.count() == len(names)  # all forms of the shape occur
+    attempts = {(r["kind"], r["form"]): r["attempt"] for r in table.collect()}
+    assert min(attempts.values()) >= s.GROWS
+    out = s.with_surrogates(frame, KEY)
+    assert out.columns == ["__id", "text", "n_entities"]
+    assert {r["text"] for r in out.collect()} == {s.replaced(r["text"], KEY, attempts)[0] for r in frame.collect()}
+
+
+def test_clashes_that_stay_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(s, "LAST_ATTEMPT", 2)
+    frame = spark.createDataFrame([(f"Mr. {a}{b}",) for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"], "text string")
+    with pytest.raises(ValueError, match="105 entities still need another surrogate"):
+        s.exceptions(frame, KEY)
+
+
+@pytest.mark.parametrize("form", ["νίκος", "小明王李", "محمدعلي", "דודכהן", "ñandúß", "٣٤٥٦٧٨"])
+def test_other_alphabets_are_permuted(spark, form):
+    new = s.surrogate("email", f"{form}@{form}.org", KEY)
+    local, _, domain = new.partition("@")
+    assert local != form and domain != f"{form}.org" and domain.endswith(".org") and len(local) == len(form)
+    assert [(c.isalpha(), c.isdigit()) for c in local] == [(c.isalpha(), c.isdigit()) for c in form]
+    text = f"to {form}@{form}.org now"
+    assert s.replaced(text, KEY, {}) == (f"to {new} now", 1)
+    assert s.exceptions(spark.createDataFrame([(text,)], "text string"), KEY).count() == 0
+
+
+def test_late_attempts_lengthen_the_name_of_an_email():
+    new, count = s.replaced("Bob@mail.org", KEY, {("email", "bob@mail.org"): 17})
+    local, _, domain = new.partition("@")
+    assert count == 1 and len(local) == 5 and domain.endswith(".org") and len(domain) == len("mail.org")
