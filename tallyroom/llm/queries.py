@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, cleaning, graphs, language, packing, quality, secrets, simhash, surrogates, urls
+from . import alignment, bpe, cleaning, extraction, graphs, language, manifest, packing, quality, secrets, simhash, surrogates, urls
 from .shared import fold, stored, table
 
 QUERIES: dict = {}
@@ -11,6 +11,7 @@ ORACLES: dict[str, str] = {}
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PACKING_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Stands in for a key that a deployment keeps secret; equal keys give equal surrogates.
 SURROGATE_KEY = b"a deployment sets its own key"
 #: What counts as an identifier when the Markov models are trained.
@@ -168,3 +169,25 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_groups")
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.aligned(documents, PACKING_VOCABULARY, PIECES)
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query("op12_merkle_manifest")
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return manifest.manifest(documents, MANIFEST_FIELDS, changed={"text": F.replace("text", F.lit("\n"), F.lit(""))}, where=tampered)
+
+
+@query("op13_host_consensus")
+def host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extracted(pages).select("page_id", "url", "text", "n_chars")

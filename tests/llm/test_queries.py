@@ -8,7 +8,7 @@ from tallyroom.llm import queries
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 
@@ -22,7 +22,7 @@ def test_same_rows_as_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op7_nnls_packing", "op8_graph_neighbours"}))
 def test_one_row_for_each_input_row(spark, name):
     frame = queries.QUERIES[name](spark, DATA)
-    table, key = ("pages", "page_id") if name.startswith("op6") else ("documents", "doc_id")
+    table, key = ("pages", "page_id") if name.startswith(("op6", "op13")) else ("documents", "doc_id")
     ids = [r[0] for r in spark.read.parquet(f"{DATA}/{table}.parquet").select(key).collect()]
     assert sorted(r[0] for r in frame.select(key).collect()) == sorted(ids)
 
