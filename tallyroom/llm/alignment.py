@@ -12,17 +12,17 @@ as one list.
 """
 
 import hashlib
-import os
 import re
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .parts import WHITE
+from .parts import WHITE, ByteLevel, Remembered
 from .shared import kept, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,35 +38,6 @@ _CUT = re.compile(f"(?<=[^{WHITE}])(?=[ \n])")
 _COMMA, _BAR, _SEMICOLON = b",|;"
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for.
-
-    Printable bytes stand for themselves; the others, in order, are the characters from 256 on.
-    """
-    own = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    other = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
-class ByteTokens:
-    """A byte-level vocabulary of the `tokenizers` library; strings of special tokens are plain text."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.own = Tokenizer.from_file(path)
-        self.own.encode_special_tokens = True
-        alphabet = byte_alphabet()
-        vocabulary = self.own.get_vocab(with_added_tokens=False)
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes[i] = bytes(map(alphabet.__getitem__, token))
-
-    def encode(self, parts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.own.encode_batch_fast(parts, add_special_tokens=False)]
-
-
 class PieceTokens:
     """A SentencePiece model, which sets a space in front of every text by itself."""
 
@@ -76,55 +47,78 @@ class PieceTokens:
         self.own = own = sentencepiece.SentencePieceProcessor(model_file=path)
         names = list(map(own.id_to_piece, range(own.get_piece_size())))
         self.bytes = [bytes([int(n[3:5], 16)]) if own.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
-        # Texts may be cut where no piece reaches across: in front of spaces and line ends.
+        # Texts may be cut where no piece reaches across: in front of spaces, and around line ends.
         if any("▁" in n.lstrip("▁") or "\n" in n for i, n in enumerate(names) if not own.is_byte(i)):
             raise ValueError("the model has pieces that reach across a space or a line end")
         self.space = own.piece_to_id("▁")
 
-    def encode(self, parts: list[str]) -> list[list[int]]:
-        """Parts start with a space or a line end. The space is the one that the library sets."""
+    def many(self, parts: list[str]) -> list[bytes]:
+        """32-bit ids of parts that start with a space, which the library sets, or with a line end, which goes with its space."""
         found = self.own.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
-        return [ids[1:] if p[0] != " " else ids or [self.space] for p, ids in zip(parts, found, strict=True)]
+        return [np.array(ids[1:] if p[0] != " " else ids or [self.space], "<u4").tobytes() for p, ids in zip(parts, found, strict=True)]
 
 
 class Sides:
     """Both token sequences of texts, with the ids of parts remembered."""
 
-    def __init__(self, a: str, b: str):
-        self.a, self.b = ByteTokens(a), PieceTokens(b)
-        self.lengths = [np.array(list(map(len, side.bytes)), np.int64) for side in (self.a, self.b)]
-        self.recent: dict[str, tuple[bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _learn(self, parts: set[str]) -> None:
-        new = parts.difference(self.recent)
-        if len(self.recent) + len(new) > REMEMBERED // 2:
-            # Two generations: what was used since the last turn stays.
-            self.older, self.recent = self.recent, {}
-            new = parts
-        again = new.intersection(self.older)
-        self.recent.update((p, self.older[p]) for p in again)
-        fresh = list(new - again)
-        for part, a, b in zip(fresh, self.a.encode(fresh), self.b.encode(fresh), strict=True):
-            whole = part.encode()
-            same = b"".join(map(self.a.bytes.__getitem__, a)) == whole == b"".join(map(self.b.bytes.__getitem__, b))
-            self.recent[part] = (np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes()) if same else None
+    def __init__(self, a: str, b: str, pattern: str):
+        self.both = ByteLevel(a, pattern), PieceTokens(b)
+        self.lengths = [np.array(list(map(len, side.bytes)), np.int64) for side in self.both]
+        self.known = Remembered(REMEMBERED)
+
+    def _checked(self, texts: list[str], own: list[list[bytes]]) -> list[tuple[bytes, bytes] | None]:
+        """The ids of parts; None where a side does not give the part back."""
+        def back(side: int, ids: bytes) -> bytes:
+            return b"".join(map(self.both[side].bytes.__getitem__, np.frombuffer(ids, "<i4").tolist()))
+
+        if all(back(k, b"".join(own[k])) == "".join(texts).encode() for k in (0, 1)):
+            # The bytes agree as a whole; parts begin alike if their lengths do.
+            sizes = [len(t.encode()) for t in texts]
+            if all(self._sizes(k, own[k]) == sizes for k in (0, 1)):
+                return list(zip(*own, strict=True))
+        return [(a, b) if back(0, a) == t.encode() == back(1, b) else None for t, a, b in zip(texts, *own, strict=True)]
+
+    def _sizes(self, side: int, own: list[bytes]) -> list[int]:
+        total = np.concatenate([[0], np.cumsum(self.lengths[side][np.frombuffer(b"".join(own), "<i4")])])
+        at = np.cumsum([0, *(len(x) // 4 for x in own)])
+        return np.diff(total[at]).tolist()
+
+    def _learn(self, keys: set[str]) -> None:
+        new = list(self.known.missing(keys))
+        texts = list(map(_part, new))
+        self.known.update(zip(new, self._checked(texts, [side.many(texts) for side in self.both]), strict=True))
 
     def of_texts(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """32-bit ids of both sides; none where text is empty or a side's bytes differ from the text's."""
-        cut = [(" " + t).replace("\n", " \n").split(" ")[1:] if _DOUBLE.search(" " + t) is None else None for t in texts]
-        cut = [[p if p[:1] == "\n" else " " + p for p in c] if c is not None else _CUT.split(" " + t) for c, t in zip(cut, texts, strict=True)]
+        cut = list(map(_keys, texts))
         self._learn(set().union(*(c for c, t in zip(cut, texts, strict=True) if t)))
         out = []
-        for parts, text in zip(cut, texts, strict=True):
-            got = list(map(self.recent.__getitem__, parts)) if text else [None]
+        for keys, text in zip(cut, texts, strict=True):
+            got = list(map(self.known.__getitem__, keys)) if text else [None]
             out.append((b"", b"") if None in got else (b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
         return out
 
 
-def sides(a: str, b: str) -> Sides:
+def _keys(text: str) -> list[str]:
+    """A space and the text, cut into parts that neither side's tokens cross.
+
+    A part goes by its text without the leading space, or by itself if it starts with a line end.
+    Where white space stands together, a part that has more than one at its start goes by its whole
+    text behind two line ends.
+    """
+    if not text[:1].isspace() and _DOUBLE.search(text) is None:
+        return text.replace("\n", " \n").split(" ")
+    return [p[1:] if p[0] == " " and not p[1:2].isspace() else "\n\n" + p for p in _CUT.split(" " + text)]
+
+
+def _part(key: str) -> str:
+    """The text of a part from what it goes by."""
+    return key[2:] if key.startswith("\n\n") else key if key.startswith("\n") else " " + key
+
+
+def sides(a: str, b: str, pattern: str) -> Sides:
     """The worker's tokenizers, built once."""
-    return kept(f"alignment:{a}:{b}", lambda: Sides(a, b))
+    return kept(f"alignment:{a}:{b}", lambda: Sides(a, b, pattern))
 
 
 def token_frame(ids: list[bytes], lengths: np.ndarray) -> pd.DataFrame:
@@ -147,6 +141,7 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     return pairs
 
 
+@lru_cache(4)
 def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
     """Decimal digits of 0 .. most - 1, one number a row, and how many there are."""
     names = np.char.encode(np.arange(most).astype(str))
@@ -163,7 +158,7 @@ def group_texts(a: pd.DataFrame, b: pd.DataFrame, cuts: np.ndarray, documents: i
     # Tokens of a side are in order, so a stable sort by (group, side) is all that is needed.
     order = np.argsort(group * 2 + side, kind="stable")
     doc, ids, key = doc[order], ids[order], (group * 2 + side)[order]
-    digits, lengths = _digits(int(ids.max()) + 1 if len(ids) else 1)
+    digits, lengths = _digits(1 << int(ids.max()).bit_length() if len(ids) else 1)
     width = digits.shape[1]
     cells = np.empty((len(ids), width + 1), np.uint8)
     cells[:, :width] = digits[ids]
@@ -201,7 +196,7 @@ class _Chunk:
         groups = group_texts(a, b, a["end"].to_numpy()[left], len(texts))
         n_a, n_b, n_links, n_overlaps = (np.bincount(x, minlength=len(texts)).tolist() for x in (
             a["doc"], b["doc"], doc, a["doc"].to_numpy()[pairs["a"].to_numpy()]))
-        at = np.concatenate([[0], np.cumsum(n_links)])
+        at = np.cumsum([0, *n_links])
         links = a["id"].to_numpy()[left].astype(np.int64) << 32 | b["id"].to_numpy()[right]
         for i, doc_id in enumerate(ids):
             digest = hashlib.sha256(groups[i]).hexdigest() if groups[i] else ""
@@ -216,15 +211,15 @@ class _Chunk:
         order = np.argsort(-counts, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        flat, at = place[inverse].astype(_narrow(len(order))), np.concatenate([[0], np.cumsum(list(map(len, self.pairs)))])
+        flat, at = place[inverse].astype(_narrow(len(order))), np.cumsum([0, *map(len, self.pairs)])
         head = (chunk, distinct[order], counts[order], *[None] * 7)
         return pd.DataFrame([head] + [(chunk, None, None, *row, flat[at[i]:at[i + 1]].tobytes())
                                       for i, row in enumerate(self.rows)], columns=names).astype(
             {n: "Int64" for n in ("n_a", "n_b", "n_links", "n_overlaps")} | {"doc_id": object})
 
 
-def aligned(documents: DataFrame, a: str, b: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Alignment figures of each document between the vocabulary file `a` (byte-level) and the model `b`.
+def aligned(documents: DataFrame, a: str, b: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Alignment figures of each document between the vocabulary file `a` (byte-level, splitting by `pattern`) and the model `b`.
 
     Returns doc_id, n_a, n_b (tokens), n_groups, n_links (pairs of tokens that end together), n_best (links whose
     pair is as frequent in the corpus as their b id's most frequent pair), count_sum (the links' corpus-wide pair
@@ -240,7 +235,7 @@ def aligned(documents: DataFrame, a: str, b: str, doc_id: str = "doc_id", text:
     names = [f.split()[0] for f in schema.split(", ")]
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, ids, texts, size = sides(a, b), [], [], 0
+        own, ids, texts, size = sides(a, b, pattern), [], [], 0
         chunk = _Chunk(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for one, whole in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["text"], strict=True):

@@ -14,7 +14,6 @@ their window by arithmetic on their rank among the pieces of equal length; ranks
 counted inside a task and shifted by the counts of earlier tasks.
 """
 
-import os
 import sys
 import zlib
 from collections.abc import Callable, Iterator
@@ -24,7 +23,7 @@ import pandas as pd
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .parts import Parts
+from .parts import ByteLevel, Parts
 from .shared import kept, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,50 +32,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIDDLES = 48
 ROUNDS = 400
 BATCH_ROWS = 50_000
-#: Parts that are encoded in one call.
-LINES = 20_000
 
 
-def tokenizer_parts(path: str, added: bool = False) -> Parts:
-    """Parts encoded by the `tokenizers` library, as 32-bit ids.
+def tokenizer_parts(path: str, pattern: str, added: bool = False) -> Parts:
+    """Parts with the ids that the `tokenizers` library gives for a byte-level vocabulary file, as 32-bit integers.
 
-    With `added`, strings of added tokens are one id each, as the library's default call gives
-    them; otherwise they are ordinary text.
+    `pattern` is the one by which that vocabulary splits. With `added`, strings of added tokens are one id
+    each, as the library's default call gives them; otherwise they are ordinary text.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True  # parts never hold an added token: texts are cut around them before
-    tokens = own.get_added_tokens_decoder() if added else {}
+    own = ByteLevel(path, pattern)  # parts never hold an added token: texts are cut around them before
+    tokens = own.own.get_added_tokens_decoder() if added else {}
     if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens.values()):
         raise ValueError("added tokens that look at their neighbours are not supported")
-    whole = {t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()}
-
-    line_end, = own.encode("\n", add_special_tokens=False).ids
-
-    def alone(parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in own.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def encode(parts: list[str]) -> list[bytes]:
-        """Parts without white space inside go to the library as lines of one text: a line end is always one id."""
-        plain = [p.split() == [p.removeprefix(" ")] for p in parts]
-        lines = [p for p, ok in zip(parts, plain, strict=True) if ok]
-        found: list[bytes] = []
-        for start in range(0, len(lines), LINES):
-            block = lines[start:start + LINES]
-            encoding, = own.encode_batch_fast(["\n".join(block)], add_special_tokens=False)
-            ids = np.array([*encoding.ids, line_end], "<u4")
-            ends = 4 * np.flatnonzero(ids == line_end)
-            flat, at = ids.tobytes(), 0
-            for end in ends.tolist():
-                found.append(flat[at:end])
-                at = end + 4
-        rest = iter(alone([p for p, ok in zip(parts, plain, strict=True) if not ok]))
-        joined = iter(found)
-        return [next(joined) if ok else next(rest) for ok in plain]
-
-    return Parts(encode, whole=whole)
+    return Parts(own.many, whole={t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()})
 
 
 def pieces(documents: DataFrame, parts: Callable[[], Parts], cache: str, doc_id: str = "doc_id", text: str = "text",

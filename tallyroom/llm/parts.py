@@ -5,11 +5,15 @@ the character before is not white space, so a text may be cut in front of every
 of white space. Parts repeat a lot, so a worker keeps what it worked out for them.
 """
 
+import json
+import os
 import re
 import sys
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
+import numpy as np
+
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,6 +28,108 @@ _MARKS = frozenset(".,;:!?")
 
 #: Characters of text whose unknown parts are encoded together.
 GROUP_CHARS = 4_000_000
+#: Parts that are encoded in one call.
+LINES = 20_000
+#: Words of Latin letters, digits and signs, with or without a space in front.
+LATIN = re.compile("[ ]?[!-~\u00a1-\u00ac\u00ae-\u024f]+")
+
+
+class Remembered(dict):
+    """What was worked out for parts: about `limit` of them, `young` of which were met in one batch only.
+
+    Half of all distinct parts never come back. They make room for each other, so that they
+    do not push out what does come back.
+    """
+
+    def __init__(self, limit: int, young: int = 300_000):
+        super().__init__()
+        self.limit, self.young = limit, young
+        self.once: set[str] = set()
+
+    def missing(self, parts: set[str]) -> set[str]:
+        """Those of `parts` that have to be worked out and added; all others are there."""
+        self.once -= parts
+        new = parts.difference(self)
+        if len(self.once) + len(new) > self.young:
+            for part in self.once:
+                del self[part]
+            self.once.clear()
+        if len(self) + len(new) > self.limit:
+            # The first learned are mostly the most frequent: those stay.
+            stay = list(islice(self.items(), self.limit // 2))
+            self.clear()
+            self.update(stay)
+            self.once &= self.keys()
+            new = parts.difference(self)
+        self.once |= new
+        return new
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for.
+
+    Printable bytes stand for themselves; the others, in order, are the characters from 256 on.
+    """
+    own = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    other = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+class ByteLevel:
+    """A byte-level vocabulary file of the `tokenizers` library, encoding parts that start as they are.
+
+    Where merges are numbered as their tokens are, the `tiktoken` library gives the same ids from the
+    same merges in a third of the time. It is used for Latin letters, digits and signs, whose classes
+    no Unicode version has changed; all other parts go to the `tokenizers` library.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_file(path)
+        self.own.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        vocabulary, alphabet = self.own.get_vocab(with_added_tokens=False), byte_alphabet()
+        self.bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.bytes[i] = bytes(map(alphabet.__getitem__, token))
+        made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        self.fast = None
+        if made == list(range(256, 256 + len(merges))) and all(len(b) == 1 for b in self.bytes[:256]):
+            import tiktoken
+
+            ranks = {b: i for i, b in enumerate(self.bytes) if b}
+            self.fast = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.line_end, = self.one("\n")
+
+    def one(self, text: str) -> list[int]:
+        return self.own.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def many(self, parts: list[str]) -> list[bytes]:
+        """32-bit ids of each part; parts without white space but one space in front go as lines of one text."""
+        lines = [i for i, p in enumerate(parts) if self.fast is not None and LATIN.fullmatch(p)]
+        found: list = [None] * len(parts)
+        for start in range(0, len(lines), LINES):
+            chosen = lines[start:start + LINES]
+            ids = self.fast.encode_ordinary("\n".join([parts[i] for i in chosen]))
+            for i, own in zip(chosen, lines_of(ids, self.line_end, len(chosen)), strict=True):
+                found[i] = own
+        rest = [i for i, f in enumerate(found) if f is None]
+        for i, e in zip(rest, self.own.encode_batch_fast([parts[i] for i in rest], add_special_tokens=False), strict=True):
+            found[i] = np.array(e.ids, "<u4").tobytes()
+        return found
+
+
+def lines_of(ids: list[int], line_end: int, count: int) -> list[bytes]:
+    """Ids of a text, as 32-bit integers, cut at its line ends into `count` lines."""
+    flat = np.array([*ids, line_end], "<u4")
+    ends = 4 * np.flatnonzero(flat == line_end)
+    if len(ends) != count:
+        raise ValueError("a line end is not one id")
+    data = flat.tobytes()
+    return [data[a:b] for a, b in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist(), strict=True)]
 
 
 class Parts:
@@ -35,28 +141,24 @@ class Parts:
     before and after is encoded as a text of its own.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000, whole: dict[str, bytes] | None = None):
-        self.encode, self.limit, self.whole = encode, limit, whole or {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000, whole: dict[str, bytes] | None = None):
+        self.encode, self.whole = encode, whole or {}
         self.around = re.compile(f"({'|'.join(map(re.escape, sorted(self.whole, key=len, reverse=True)))})")
-        self.spaced: dict[str, bytes] = {}  # by the part without its leading space
-        self.plain: dict[str, bytes] = {}
+        self.spaced = Remembered(limit)  # by the part without its leading space
+        self.plain = Remembered(limit)
+        self.marks: dict[str, bytes] = {}
 
-    def _learn(self, known: dict[str, bytes], parts: set[str], lead: str) -> None:
-        new = parts.difference(known)
-        if not new:
-            return
-        if len(known) + len(new) > self.limit:
-            # The first learned are mostly the most frequent: those stay.
-            stay = list(islice(known.items(), self.limit // 2))
-            known.clear()
-            known.update(stay)
-            new = parts.difference(known)
-        stems = {p: p[:-1] for p in new if len(p) > 1 and p[-1] in _MARKS and p[-2].isalpha()}
-        marks = {p[-1] for p in stems}.difference(self.plain)
-        self.plain.update(zip(marks, self.encode(list(marks)), strict=True))
-        texts = list({s for s in stems.values() if s not in known} | {p for p in new if p not in stems})
+    def _learn(self, known: Remembered, parts: set[str], lead: str) -> None:
+        stems = {p: p[:-1] for p in parts.difference(known) if len(p) > 1 and p[-1] in _MARKS and p[-2].isalpha()}
+        new = known.missing(parts.union(stems.values()))
+        made = new & stems.keys()
+        marks = {p[-1] for p in made}.difference(self.marks)
+        self.marks.update(zip(marks, self.encode(list(marks)), strict=True))
+        texts = list(new - made)
         known.update(zip(texts, self.encode([t if t[:1] == "\n" else lead + t for t in texts]), strict=True))
-        known.update((p, known[stem] + self.plain[p[-1]]) for p, stem in stems.items())
+        # A stem may end in a mark itself only behind a letter, so shorter ones come first.
+        for p in sorted(made, key=len):
+            known[p] = known[stems[p]] + self.marks[p[-1]]
 
     def of_texts(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The encoding of each text in order; NULL and empty texts have none."""

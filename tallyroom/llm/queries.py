@@ -151,7 +151,7 @@ def nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack(documents: DataFrame) -> DataFrame:
     path = PACKING_VOCABULARY
-    return packing.packed(documents, lambda: packing.tokenizer_parts(path, added=True), f"packing:{path}")
+    return packing.packed(documents, lambda: packing.tokenizer_parts(path, public_tokenizers.PATTERN, added=True), f"packing:{path}")
 
 
 @query("op8_graph_neighbours")
@@ -174,7 +174,7 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_token_alignment")
 def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return alignment.aligned(documents, PACKING_VOCABULARY, PIECES)
+    return alignment.aligned(documents, PACKING_VOCABULARY, PIECES, public_tokenizers.PATTERN)
 
 
 MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]

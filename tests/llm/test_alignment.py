@@ -10,9 +10,10 @@ import sentencepiece
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from tallyroom.llm import alignment, queries
+from tallyroom.llm import alignment, parts, queries
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+PATTERN = public_tokenizers.PATTERN
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,7 @@ def plain_tokens(libraries, text):
     tokenizer, pieces = libraries
     if not text:
         return [], []
-    alphabet = alignment.byte_alphabet()
+    alphabet = parts.byte_alphabet()
     a = [(i, bytes(alphabet[c] for c in tokenizer.id_to_token(i))) for i in tokenizer.encode(" " + text, add_special_tokens=False).ids]
     b = [(i, bytes([int(pieces.id_to_piece(i)[3:5], 16)]) if pieces.is_byte(i) else pieces.id_to_piece(i).replace("▁", " ").encode())
          for i in pieces.encode(text)]
@@ -85,14 +86,14 @@ def test_hard_texts_and_counts_over_the_corpus(spark, libraries, monkeypatch):
     bits = ["a", " ", " ", "the", "ing", "\n", "é", "漢", ".", ",", "don't", "12", "\t", "ß", "Word", "  ", "\r\n"]
     rows = list(enumerate(HARD + HARD[:20] + ["".join(pick.choice(bits) for _ in range(pick.randint(1, 60))) for _ in range(150)]))
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as chunk", "1 as links").repartition(3)
-    assert result(alignment.aligned(frame, A, B)) == brute(libraries, rows)
+    assert result(alignment.aligned(frame, A, B, PATTERN)) == brute(libraries, rows)
 
 
 def test_whole_table(spark, libraries):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect() if len(r[1]) < 4000]
     whole = spark.read.parquet(f"{folder}/documents.parquet").where("length(text) < 4000")
-    assert result(alignment.aligned(whole, A, B)) == brute(libraries, rows)
+    assert result(alignment.aligned(whole, A, B, PATTERN)) == brute(libraries, rows)
     counted = queries.QUERIES["op11_token_alignment"](spark, folder)
     assert counted.columns[:8] == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
@@ -100,10 +101,10 @@ def test_whole_table(spark, libraries):
 def test_repeated_rows_null_ids_and_empty_tables(spark, libraries):
     rows = [(None, "a b"), (None, "a b"), (7, "a c"), (7, "a c")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    out = alignment.aligned(frame, A, B).collect()
+    out = alignment.aligned(frame, A, B, PATTERN).collect()
     assert len(out) == 4 and {r["doc_id"] for r in out} == {None, 7}
     assert {r["n_links"] for r in out} == {2} and max(r["count_sum"] for r in out) == 6
-    assert alignment.aligned(frame.limit(0), A, B).count() == 0
+    assert alignment.aligned(frame.limit(0), A, B, PATTERN).count() == 0
 
 
 def test_chunks_of_any_size_give_the_same(spark, libraries, monkeypatch):
@@ -112,7 +113,7 @@ def test_chunks_of_any_size_give_the_same(spark, libraries, monkeypatch):
     monkeypatch.setattr(alignment, "CHUNK_BYTES", 90)
     monkeypatch.setattr(alignment, "REMEMBERED", 12)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    assert result(alignment.aligned(frame, A, B)) == brute(libraries, rows)
+    assert result(alignment.aligned(frame, A, B, PATTERN)) == brute(libraries, rows)
 
 
 @settings(max_examples=150, deadline=None)
@@ -125,3 +126,10 @@ def test_overlaps_are_all_pairs_that_share_a_byte(shape, extra):
     expected = {(i, j) for i, x in frames[0].iterrows() for j, y in frames[1].iterrows() if x["start"] < y["end"] and y["start"] < x["end"]}
     pairs = alignment.overlaps(*frames)
     assert len(pairs) == len(expected) and set(zip(pairs["a"], pairs["b"], strict=True)) == expected
+
+
+def test_nothing_new_to_learn():
+    own = alignment.Sides(A, B, PATTERN)
+    texts = [t or "" for t in HARD]
+    first = own.of_texts(texts)
+    assert own.of_texts(texts) == first and own.of_texts([]) == [] and own.of_texts([""]) == [(b"", b"")]
