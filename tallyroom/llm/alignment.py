@@ -12,7 +12,6 @@ as one list.
 """
 
 import hashlib
-import re
 import sys
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +21,7 @@ import pandas as pd
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .parts import WHITE, ByteLevel, Remembered
+from .parts import ByteLevel
 from .shared import kept, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,10 +29,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Bytes of text that are aligned together, and that share a list of pairs.
 BATCH_BYTES = 1_000_000
 CHUNK_BYTES = 4_000_000
-#: Parts whose ids a worker remembers.
-REMEMBERED = 600_000
-_DOUBLE = re.compile(f"[{WHITE}][{WHITE}]")
-_CUT = re.compile(f"(?<=[^{WHITE}])(?=[ \n])")
 #: Between the tokens of a side, between the sides, between groups.
 _COMMA, _BAR, _SEMICOLON = b",|;"
 
@@ -47,73 +42,26 @@ class PieceTokens:
         self.own = own = sentencepiece.SentencePieceProcessor(model_file=path)
         names = list(map(own.id_to_piece, range(own.get_piece_size())))
         self.bytes = [bytes([int(n[3:5], 16)]) if own.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
-        # Texts may be cut where no piece reaches across: in front of spaces, and around line ends.
-        if any("▁" in n.lstrip("▁") or "\n" in n for i, n in enumerate(names) if not own.is_byte(i)):
-            raise ValueError("the model has pieces that reach across a space or a line end")
-        self.space = own.piece_to_id("▁")
 
-    def many(self, parts: list[str]) -> list[bytes]:
-        """32-bit ids of parts that start with a space, which the library sets, or with a line end, which goes with its space."""
-        found = self.own.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
-        return [np.array(ids[1:] if p[0] != " " else ids or [self.space], "<u4").tobytes() for p, ids in zip(parts, found, strict=True)]
+    def of_texts(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u4").tobytes() for ids in self.own.encode(texts, num_threads=1)]
 
 
 class Sides:
-    """Both token sequences of texts, with the ids of parts remembered."""
+    """Both token sequences of texts."""
 
     def __init__(self, a: str, b: str, pattern: str):
-        self.both = ByteLevel(a, pattern), PieceTokens(b)
-        self.lengths = [np.array(list(map(len, side.bytes)), np.int64) for side in self.both]
-        self.known = Remembered(REMEMBERED)
-
-    def _checked(self, texts: list[str], own: list[list[bytes]]) -> list[tuple[bytes, bytes] | None]:
-        """The ids of parts; None where a side does not give the part back."""
-        def back(side: int, ids: bytes) -> bytes:
-            return b"".join(map(self.both[side].bytes.__getitem__, np.frombuffer(ids, "<i4").tolist()))
-
-        if all(back(k, b"".join(own[k])) == "".join(texts).encode() for k in (0, 1)):
-            # The bytes agree as a whole; parts begin alike if their lengths do.
-            sizes = [len(t.encode()) for t in texts]
-            if all(self._sizes(k, own[k]) == sizes for k in (0, 1)):
-                return list(zip(*own, strict=True))
-        return [(a, b) if back(0, a) == t.encode() == back(1, b) else None for t, a, b in zip(texts, *own, strict=True)]
-
-    def _sizes(self, side: int, own: list[bytes]) -> list[int]:
-        total = np.concatenate([[0], np.cumsum(self.lengths[side][np.frombuffer(b"".join(own), "<i4")])])
-        at = np.cumsum([0, *(len(x) // 4 for x in own)])
-        return np.diff(total[at]).tolist()
-
-    def _learn(self, keys: set[str]) -> None:
-        new = list(self.known.missing(keys))
-        texts = list(map(_part, new))
-        self.known.update(zip(new, self._checked(texts, [side.many(texts) for side in self.both]), strict=True))
+        self.a, self.b = ByteLevel(a, pattern), PieceTokens(b)
+        self.lengths = [np.array(list(map(len, side.bytes)), np.int64) for side in (self.a, self.b)]
 
     def of_texts(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """32-bit ids of both sides; none where text is empty or a side's bytes differ from the text's."""
-        cut = list(map(_keys, texts))
-        self._learn(set().union(*(c for c, t in zip(cut, texts, strict=True) if t)))
-        out = []
-        for keys, text in zip(cut, texts, strict=True):
-            got = list(map(self.known.__getitem__, keys)) if text else [None]
-            out.append((b"", b"") if None in got else (b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
-        return out
+        def same(ids: bytes, whole: bytes) -> bool:
+            return b"".join(map(self.b.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())) == whole
 
-
-def _keys(text: str) -> list[str]:
-    """A space and the text, cut into parts that neither side's tokens cross.
-
-    A part goes by its text without the leading space, or by itself if it starts with a line end.
-    Where white space stands together, a part that has more than one at its start goes by its whole
-    text behind two line ends.
-    """
-    if not text[:1].isspace() and _DOUBLE.search(text) is None:
-        return text.replace("\n", " \n").split(" ")
-    return [p[1:] if p[0] == " " and not p[1:2].isspace() else "\n\n" + p for p in _CUT.split(" " + text)]
-
-
-def _part(key: str) -> str:
-    """The text of a part from what it goes by."""
-    return key[2:] if key.startswith("\n\n") else key if key.startswith("\n") else " " + key
+        # A byte-level vocabulary gives every text back; pieces may not, as where a text holds the sign for a space.
+        both = zip(texts, self.a.of_texts([" " + t for t in texts]), self.b.of_texts(texts), strict=True)
+        return [(a, b) if t and same(b, (" " + t).encode()) else (b"", b"") for t, a, b in both]
 
 
 def sides(a: str, b: str, pattern: str) -> Sides:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .parts import ByteLevel, Parts
+from .parts import ByteLevel
 from .shared import kept, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,32 +34,20 @@ ROUNDS = 400
 BATCH_ROWS = 50_000
 
 
-def tokenizer_parts(path: str, pattern: str, added: bool = False) -> Parts:
-    """Parts with the ids that the `tokenizers` library gives for a byte-level vocabulary file, as 32-bit integers.
-
-    `pattern` is the one by which that vocabulary splits. With `added`, strings of added tokens are one id
-    each, as the library's default call gives them; otherwise they are ordinary text.
-    """
-    own = ByteLevel(path, pattern)  # parts never hold an added token: texts are cut around them before
-    tokens = own.own.get_added_tokens_decoder() if added else {}
-    if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens.values()):
-        raise ValueError("added tokens that look at their neighbours are not supported")
-    return Parts(own.many, whole={t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()})
-
-
-def pieces(documents: DataFrame, parts: Callable[[], Parts], cache: str, doc_id: str = "doc_id", text: str = "text",
+def pieces(documents: DataFrame, tokenizer: Callable[[], ByteLevel], cache: str, doc_id: str = "doc_id", text: str = "text",
            window: int = 2048, end_id: int = 1) -> DataFrame:
     """One row per full window or remainder of a document, with the CRC-32 of its ids.
 
     `cuts` holds the CRC-32 of the power-of-two cuts of a remainder, largest first. `task`
-    and `place` number the pieces of a length. NULL texts count as empty: one `end_id`.
+    and `place` number the pieces of a length. NULL texts count as empty: one `end_id`. A worker
+    makes its `tokenizer` once and keeps it under the name `cache`.
     """
     id_type = documents.select(doc_id).schema[0].dataType.simpleString()
     schema = (f"doc_id {id_type}, start long, length int, ids_crc32 long, doc_tokens long, cuts array<long>, "
               "task int, place long")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, task = kept(cache, parts), TaskContext.get().partitionId()
+        own, task = kept(cache, tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
@@ -174,7 +162,7 @@ def plan(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, int]:
     return np.array(slots, np.int64).reshape(-1, 5), used, windows
 
 
-def packed(documents: DataFrame, parts: Callable[[], Parts], cache: str, doc_id: str = "doc_id", text: str = "text",
+def packed(documents: DataFrame, tokenizer: Callable[[], ByteLevel], cache: str, doc_id: str = "doc_id", text: str = "text",
            window: int = 2048, end_id: int = 1) -> DataFrame:
     """Pieces with their sequence and offset: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -182,7 +170,7 @@ def packed(documents: DataFrame, parts: Callable[[], Parts], cache: str, doc_id:
     which hold a power of two. NULL and empty texts are one id long; repeated rows are packed
     each; an empty table gives no piece. `window` must be a power of two.
     """
-    rows = stored(pieces(documents, parts, cache, doc_id, text, window, end_id))
+    rows = stored(pieces(documents, tokenizer, cache, doc_id, text, window, end_id))
     by_task = rows.groupBy("task", "length").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     shifts = by_task.withColumn("shift", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")

@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import alignment, bpe, cleaning, extraction, graphs, language, manifest, packing, quality, secrets, simhash, surrogates, urls
+from .parts import ByteLevel
 from .shared import fold, stored, table
 
 QUERIES: dict = {}
@@ -151,7 +152,7 @@ def nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack(documents: DataFrame) -> DataFrame:
     path = PACKING_VOCABULARY
-    return packing.packed(documents, lambda: packing.tokenizer_parts(path, public_tokenizers.PATTERN, added=True), f"packing:{path}")
+    return packing.packed(documents, lambda: ByteLevel(path, public_tokenizers.PATTERN, added=True), f"packing:{path}")
 
 
 @query("op8_graph_neighbours")

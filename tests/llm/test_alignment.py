@@ -111,7 +111,6 @@ def test_chunks_of_any_size_give_the_same(spark, libraries, monkeypatch):
     rows = [(i, t) for i, t in enumerate(HARD * 3)]
     monkeypatch.setattr(alignment, "BATCH_BYTES", 40)
     monkeypatch.setattr(alignment, "CHUNK_BYTES", 90)
-    monkeypatch.setattr(alignment, "REMEMBERED", 12)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(alignment.aligned(frame, A, B, PATTERN)) == brute(libraries, rows)
 
@@ -126,10 +125,3 @@ def test_overlaps_are_all_pairs_that_share_a_byte(shape, extra):
     expected = {(i, j) for i, x in frames[0].iterrows() for j, y in frames[1].iterrows() if x["start"] < y["end"] and y["start"] < x["end"]}
     pairs = alignment.overlaps(*frames)
     assert len(pairs) == len(expected) and set(zip(pairs["a"], pairs["b"], strict=True)) == expected
-
-
-def test_nothing_new_to_learn():
-    own = alignment.Sides(A, B, PATTERN)
-    texts = [t or "" for t in HARD]
-    first = own.of_texts(texts)
-    assert own.of_texts(texts) == first and own.of_texts([]) == [] and own.of_texts([""]) == [(b"", b"")]

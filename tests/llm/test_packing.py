@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tallyroom.llm import packing, queries
-from tallyroom.llm.parts import Remembered
+from tallyroom.llm.parts import ByteLevel, Remembered
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -43,7 +43,7 @@ def check(rows, ids_of, window):
 
 def test_whole_tables(spark, tokenizer):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
-    rows = packing.packed(frame, lambda: packing.tokenizer_parts(PATH, public_tokenizers.PATTERN), "test").collect()
+    rows = packing.packed(frame, lambda: ByteLevel(PATH, public_tokenizers.PATTERN), "test").collect()
     texts = {r["doc_id"]: r["text"] for r in frame.collect()}
     ids = {d: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4") for d, t in texts.items()}
     check(rows, ids, 2048)
@@ -53,9 +53,9 @@ def test_nulls_empty_texts_and_one_length_only(spark, tokenizer):
     rows = [(1, None), (2, ""), (3, "a b  c\n\nd"), (4, "<|endoftext|> x")] + [(i, "w " * 39) for i in range(5, 40)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumnRenamed("text", "t").selectExpr("*", "1 as length", "2 as cuts")
     ids = {d: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for d, t in rows}
-    out = packing.packed(frame, lambda: packing.tokenizer_parts(PATH, public_tokenizers.PATTERN), "test", text="t", window=64).collect()
+    out = packing.packed(frame, lambda: ByteLevel(PATH, public_tokenizers.PATTERN), "test", text="t", window=64).collect()
     check(out, ids, 64)
-    assert packing.packed(frame.limit(0), lambda: packing.tokenizer_parts(PATH, public_tokenizers.PATTERN), "test", text="t").count() == 0
+    assert packing.packed(frame.limit(0), lambda: ByteLevel(PATH, public_tokenizers.PATTERN), "test", text="t").count() == 0
 
 
 def test_added_tokens_are_as_in_an_unmodified_tokenizer(spark):
@@ -103,11 +103,14 @@ def test_fast_encoding_gives_the_library_s_ids(spark):
     """Every distinct word of the given documents, and mixtures of hard characters, alone and with a space in front."""
     pick, plain = random.Random(11), Tokenizer.from_file(PATH)
     texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
-    words = {w for t in texts for w in t.split()} | {"".join(pick.choice("aeé'ſßłʼ0²½µªΩж漢_$-.~­ɏɐ") for _ in range(pick.randint(1, 9))) for _ in range(20_000)}
+    words = {w for t in texts for w in t.split()} | {"".join(pick.choice("aeé'ſßłʼ0²½µªΩж漢_$-.~­ɏɐ \n\t…–“€\u00a0\u2028") for _ in range(pick.randint(1, 9))) for _ in range(20_000)}
     parts = [w for w in words] + [" " + w for w in words]
-    own = packing.tokenizer_parts(PATH, public_tokenizers.PATTERN)
-    expected = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch_fast(parts, add_special_tokens=False)]
-    assert own.encode(parts) == expected
+    own = ByteLevel(PATH, public_tokenizers.PATTERN)
+    texts = [" ".join(parts[i:i + 7]) for i in range(0, len(parts), 7)] + parts
+    expected = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch_fast(texts, add_special_tokens=False)]
+    assert list(own.of_texts(texts)) == expected
+    assert list(ByteLevel(PATH, public_tokenizers.PATTERN, added=True).of_texts([None, "", "a<|endoftext|>"])) == [
+        b"", b"", np.array([64, 50256], "<u4").tobytes()]
 
 
 def test_parts_are_remembered_within_bounds():
