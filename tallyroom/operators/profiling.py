@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import round_half_up
 
+#: Equal steps into which one round of a rank selection cuts a range, and rounds: a range ends up 2 to the 30th part
+#: of its column's.
+STEPS = 1024
+ROUNDS = 3
 _AGGREGATIONS = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "count": F.count}
 
 
@@ -51,97 +55,113 @@ def _present(frame: DataFrame, name: str) -> Column:
     return F.when(~_missing(frame, name), F.col(name).cast("double"))
 
 
+def _value_counts(frame: DataFrame, names: list) -> DataFrame:
+    """How often each value stands in each column: i (the column's place in `names`), value, n.
+
+    Missing values are counted as column i + len(names) with value 0. So no column here is ever NULL,
+    and no filter for NULLs reaches one use of the counts but not the others: all uses share one scan
+    and one shuffle, in front of which equal values have been added up.
+    """
+    return _cells(frame, names).groupBy("i", "value").agg(F.count("*").alias("n"))
+
+
+def _cells(frame: DataFrame, names: list) -> DataFrame:
+    count = len(names)
+    cells = F.array(*[
+        F.struct(F.when(_present(frame, n).isNull(), i + count).otherwise(i).alias("i"),
+                 F.coalesce(_present(frame, n), F.lit(0.0)).alias("value")) for i, n in enumerate(names)])
+    return frame.select(F.explode(cells).alias("c")).select("c.*")
+
+
+def _column_name(names: list) -> Column:
+    return F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1).alias("column")
+
+
 def numeric_summary(frame: DataFrame, exact_quantiles: bool = True, accuracy: int = 10000) -> DataFrame:
     """Per numeric column: count, mean, sample deviation, min, quartiles, max, median, missing.
 
-    Exact quartiles interpolate linearly between neighbours (`exact_quantile_arrays`);
-    `exact_quantiles=False` takes them from a sketch in the one aggregate pass.
+    All figures come from the columns' value counts, so the data is scanned once however many
+    columns there are. Exact quartiles interpolate linearly between neighbours (`_quantiles`);
+    `exact_quantiles=False` takes them from a sketch, for which the data is scanned again.
     """
     names = numeric_columns(frame)
     if not names:
         raise ValueError("no numeric columns")
     cuts = [0.25, 0.5, 0.75]
-    measures = []
-    for name in names:
-        value = _present(frame, name)
-        fields = [
-            F.lit(name).alias("column"), F.count(value).alias("count"), F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
-            F.count_if(_missing(frame, name)).alias("missing"),
-        ]
-        if not exact_quantiles:
-            fields.append(F.percentile_approx(value, cuts, accuracy).alias("q"))
-        measures.append(F.struct(*fields))
-    rows = frame.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    counts = _value_counts(frame, names)
+    n, value, there = F.col("n"), F.col("value"), F.col("i") < len(names)
+    own = (F.col("i") % len(names)).alias("i")
+    sums = counts.groupBy(own).agg(
+        F.coalesce(F.sum(F.when(there, n)), F.lit(0)).alias("count"),
+        (F.sum(F.when(there, value * n)) / F.sum(F.when(there, n))).alias("mean"),
+        F.min(F.when(there, value)).alias("min"), F.max(F.when(there, value)).alias("max"),
+        F.coalesce(F.sum(F.when(~there, n)), F.lit(0)).alias("missing"))
+    # The mean is known before squares are added up: no digits are lost to large values close together.
+    means = counts.groupBy("i").agg((F.sum(value * n) / F.sum(n)).alias("mean"))
+    spread = counts.join(means, "i").groupBy("i").agg(
+        F.sum(n * (value - F.col("mean")) ** 2).alias("squares"))
+    rows = sums.join(spread, "i", "left")
     if exact_quantiles:
-        rows = rows.join(exact_quantile_arrays(frame, names, cuts), "column", "left")
+        quantiles = _quantiles(counts, cuts)
+    else:
+        quantiles = _cells(frame, names).groupBy("i").agg(F.percentile_approx("value", cuts, accuracy).alias("q"))
+    rows = rows.join(quantiles, "i", "left")
     return rows.select(
-        "column", "count", "mean", "std", "min",
+        _column_name(names), "count", "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"), "min",
         F.get("q", F.lit(0)).alias("q25"), F.get("q", F.lit(1)).alias("q50"), F.get("q", F.lit(2)).alias("q75"),
         "max", F.get("q", F.lit(1)).alias("median"), "missing",
     )
 
 
-def exact_quantile_arrays(frame: DataFrame, names: list, cuts: list, ranges: int = 1000,
-                          accuracy: int = 10000) -> DataFrame:
+def exact_quantile_arrays(frame: DataFrame, names: list, cuts: list, ranges: int = STEPS) -> DataFrame:
     """Exact, linearly interpolated quantiles per column: column, q (array in the order of `cuts`).
 
-    A first pass sketches borders that cut each column into ranges of about equal
-    size; these few numbers are all the driver sees. Equal values are then counted
-    on the map side, the ranges are counted, and only the one or two ranges a
-    quantile falls into are put in order. No task holds a whole column.
+    NULL and NaN do not count; a column without values has no row.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    grid = [i / ranges for i in range(1, ranges)]
-    sketch = frame.agg(*[
-        F.percentile_approx(_present(frame, n), grid, accuracy).alias(str(i)) for i, n in enumerate(names)
-    ]).first()
-    infinite = float("inf")
-    counted = []
-    for i, name in enumerate(names):
-        borders = sorted({b for b in (sketch[i] or [0.0]) if abs(b) != infinite}) or [0.0]
-        values = frame.select(_present(frame, name).alias("value")).where(F.col("value").isNotNull())
-        cut = Bucketizer(splits=[-infinite, *borders, infinite], inputCol="value", outputCol="range")
-        counted.append(
-            cut.transform(values.groupBy("value").agg(F.count("*").alias("n")))
-            .select(F.lit(name).alias("column"), "range", "value", "n")
-        )
-    counts = reduce(DataFrame.union, counted)
-
-    by_range = Window.partitionBy("column")
-    before = by_range.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = counts.groupBy("column", "range").agg(F.sum("n").alias("rows")).select(
-        "column", "range", "rows",
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"),
-        F.sum("rows").over(by_range).alias("total"),
-    )
-    spots = F.array(*[(F.col("total") - 1) * F.lit(c) for c in cuts])
-    ranks = F.array_distinct(F.flatten(F.transform(
-        spots, lambda h: F.array(F.floor(h).cast("long"), F.ceil(h).cast("long")))))
-    wanted = totals.select(
-        "column", "range", "before", "total",
-        F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("rows"))).alias("ranks"),
-    ).where(F.size("ranks") > 0)
-
-    running = Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = counts.join(wanted, ["column", "range"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(running)
-    )
-    hits = ordered.select(
-        "column", "total", "value",
-        F.explode(F.filter("ranks", lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))).alias("rank"),
-    )
-    by_rank = hits.groupBy("column", "total").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
-    )
+    return _quantiles(_value_counts(frame, names), cuts, ranges).where(F.col("i") < len(names)).select(_column_name(names), "q")
 
-    def quantile(h):
-        low = F.element_at("at", F.floor(h).cast("long"))
-        high = F.element_at("at", F.ceil(h).cast("long"))
-        return F.when(low == high, low).otherwise(low + (high - low) * (h - F.floor(h)))
 
-    return by_rank.select("column", F.transform(spots, quantile).alias("q"))
+def _quantiles(counts: DataFrame, cuts: list, ranges: int = STEPS) -> DataFrame:
+    """Quantiles of counted values (i, value, n), none of them NULL: i, q.
+
+    Selection by repeated narrowing: each round cuts the ranges that a wanted rank lies in into
+    equal steps and counts the steps on the map side, so only small counts meet. After the last
+    round the few values of the wanted ranges are put in order. Nothing runs while the frame is
+    built, and no sketch is drawn.
+    """
+    per_column = counts.groupBy("i").agg(F.sum("n").alias("total"), F.min("value").alias("low"), F.max("value").alias("high"))
+    places = F.flatten(F.array(*[F.array(F.floor((F.col("total") - 1) * c).cast("long"), F.ceil((F.col("total") - 1) * c).cast("long"))
+                                 for c in cuts]))
+    # Wanted: the ranks (from 0) that lie in a range, and how many values stand before it.
+    wanted = per_column.select("i", "low", "high", F.lit(0).cast("long").alias("before"), F.array_distinct(places).alias("ranks"))
+    for _ in range(ROUNDS):
+        # At most two ranges for each cut of a column: bounded by the columns, not by the data.
+        inside = counts.join(F.broadcast(wanted), "i").where("value >= low and value <= high")
+        width = F.col("high") - F.col("low")
+        step = F.when((width > 0) & (width < float("inf")), F.least(F.floor((F.col("value") - F.col("low")) / width * ranges), F.lit(ranges - 1)))
+        # A range that infinity ends has two halves: what is infinite, and what is not.
+        step = F.coalesce(step, F.when(F.col("value") == float("-inf"), -1).when(F.col("value") == float("inf"), ranges).otherwise(0)).cast("int")
+        steps = inside.groupBy("i", "before", "ranks", step.alias("step")).agg(
+            F.sum("n").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+        earlier = Window.partitionBy("i", "before").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+        wanted = steps.withColumn("before", F.col("before") + F.coalesce(F.sum("rows").over(earlier), F.lit(0))).select(
+            "i", "low", "high", "before",
+            F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("rows"))).alias("ranks"),
+        ).where(F.size("ranks") > 0)
+    running = Window.partitionBy("i", "before").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = counts.join(F.broadcast(wanted), "i").where("value >= low and value <= high").withColumn(
+        "upto", F.col("before") + F.sum("n").over(running))
+    hits = ordered.select("i", "value", F.explode(F.filter(
+        "ranks", lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))).alias("rank"))
+    by_rank = hits.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+
+    def quantile(c):
+        spot = (F.col("total") - 1) * c
+        low, high = (F.element_at("at", f(spot).cast("long")) for f in (F.floor, F.ceil))
+        return F.when(low == high, low).otherwise(low + (high - low) * (spot - F.floor(spot)))
+
+    return by_rank.join(per_column, "i").select("i", F.array(*map(quantile, cuts)).alias("q"))
 
 
 def top_categories(frame: DataFrame, column: str, limit: int = 10) -> DataFrame:
@@ -169,24 +189,25 @@ def aggregate_metrics(frame: DataFrame, group: str, metric: str, how: str) -> Da
 def correlation_matrix(frame: DataFrame) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, over rows where both are present.
 
-    One aggregation computes all pairs; the result has one row per pair in both
-    directions, the diagonal included.
+    Each row gives one short row per pair, and one aggregate with a single correlation adds them
+    up before the shuffle: the data is scanned once, and the code stays compiled however many
+    columns there are. The result has one row per pair in both directions, the diagonal included.
     """
     names = numeric_columns(frame)
     if len(names) < 2:
         raise ValueError("a correlation needs two numeric columns")
-    values = {n: F.when(~_missing(frame, n), F.col(n).cast("double")) for n in names}
-    measures = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(values[a], values[b]).alias("r"))
-        for i, a in enumerate(names)
-        for b in names[i:]
-    ]
-    upper = frame.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*")
-    lower = upper.where(F.col("a") != F.col("b")).select(
-        F.col("b").alias("a"), F.col("a").alias("b"), "r"
-    )
-    return upper.union(lower).select(
-        F.col("a").alias("column_a"), F.col("b").alias("column_b"), F.col("r").alias("correlation")
+    values = [_present(frame, n).alias(f"v{i}") for i, n in enumerate(names)]
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"v{i}").alias("x"), F.col(f"v{j}").alias("y"))
+        for i in range(len(names)) for j in range(i, len(names))
+    ])
+    upper = frame.select(*values).select(F.explode(pairs).alias("p")).groupBy("p.i", "p.j").agg(F.corr("p.x", "p.y").alias("r"))
+    known = F.array(*map(F.lit, names))
+    a, b = (F.element_at(known, F.col(c) + 1) for c in ("i", "j"))
+    both = F.when(a == b, F.array(F.struct(a.alias("a"), b.alias("b")))).otherwise(
+        F.array(F.struct(a.alias("a"), b.alias("b")), F.struct(b.alias("a"), a.alias("b"))))
+    return upper.select(F.explode(both).alias("p"), "r").select(
+        F.col("p.a").alias("column_a"), F.col("p.b").alias("column_b"), F.col("r").alias("correlation")
     )
 
 

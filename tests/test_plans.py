@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
@@ -96,3 +98,14 @@ def test_lineage_is_cut_in_the_shared_folder(spark):
     frame = checkpoint(spark.range(10).withColumn("x", F.col("id") + 1))
     assert frame.count() == 10 and "Scan ExistingRDD" in plan(frame)
     assert spark.sparkContext.getCheckpointDir().startswith("file:" + spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_figures_of_many_columns_scan_the_data_once(spark):
+    """Run first, so that the plan is the one that adaptive execution ended with."""
+    for name in ("h2_numeric_summary", "h5_correlation_matrix"):
+        frame = QUERIES[name](spark, DATA)
+        frame.collect()
+        final = plan(frame).split("== Initial Plan ==")[0]
+        assert final.count("FileScan parquet") == 1, name
+        inner = final[final.index("FileScan parquet") - 4000:final.index("FileScan parquet")]
+        assert re.search(r"\*\(\d+\) HashAggregate.*partial", inner), name
