@@ -51,7 +51,7 @@ def document_registry(t):
 
 _SUMMARIES = """sums AS (SELECT event_id AS id, user_id, k AS document_id,
   CASE event_type WHEN 'click' THEN 'tfidf' WHEN 'view' THEN 'textrank' ELSE 'hybrid' END AS method, 'brief' AS mode, 'en' AS target_language,
-  CAST(value AS VARCHAR) AS summary_text, ts AS created_at FROM ev)"""
+  CAST(value AS VARCHAR) AS summary_text, '[' || CAST(event_id AS VARCHAR) || ']' AS key_insights, props AS hierarchy_json, ts AS created_at FROM ev)"""
 _HASH = "sha256(concat_ws('|', CAST(user_id AS VARCHAR), CAST(document_id AS VARCHAR), method, mode, target_language))"
 
 
@@ -60,15 +60,28 @@ def _summaries(t):
     return t.events.select(
         F.col("event_id").alias("id"), "user_id", F.col("k").alias("document_id"), method.alias("method"),
         F.lit("brief").alias("mode"), F.lit("en").alias("target_language"),
-        F.col("value").cast("string").alias("summary_text"), F.lit("[]").alias("key_insights"),
-        F.lit("{}").alias("hierarchy_json"), F.col("ts").alias("created_at"))
+        F.col("value").cast("string").alias("summary_text"),
+        F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit("]")).alias("key_insights"),
+        F.col("props").alias("hierarchy_json"), F.col("ts").alias("created_at"))
 
 
-@query("d5_latest_summaries", f"""WITH {EV}, {_SUMMARIES} SELECT {_HASH} AS summary_hash, arg_min(id, created_at) AS id,
-  user_id, document_id, method, arg_max(summary_text, created_at) AS summary_text FROM sums GROUP BY ALL""")
+_LATEST_SQL = f"""WITH {EV}, {_SUMMARIES} SELECT {_HASH} AS summary_hash, arg_min(id, created_at) AS id,
+  user_id, document_id, method, mode, target_language, arg_max(summary_text, created_at) AS summary_text,
+  arg_max(key_insights, created_at) AS key_insights, arg_max(hierarchy_json, created_at) AS hierarchy_json,
+  min(created_at) AS created_at FROM sums GROUP BY user_id, document_id, method, mode, target_language"""
+
+
+@query("d5_latest_summaries", _LATEST_SQL)
 def latest_summaries(t):
-    return tables.latest_summaries(_summaries(t)).select(
-        "summary_hash", "id", "user_id", "document_id", "method", "summary_text")
+    return tables.latest_summaries(_summaries(t))
+
+
+@query("d5_merge_summaries", _LATEST_SQL)
+def merge_summaries(t):
+    """The later half of the rows merged into what the earlier half stored."""
+    rows = _summaries(t)
+    early = F.col("created_at") < F.lit("2024-01-16").cast("timestamp_ntz")
+    return tables.merge_summaries(tables.latest_summaries(rows.where(early)), rows.where(~early))
 
 
 @query("d5_summary_misses", f"""WITH {EV}, {_SUMMARIES}, have AS (SELECT {_HASH} AS h FROM sums WHERE method = 'tfidf')

@@ -1,5 +1,8 @@
-"""Dashboard sections: Gold first, computed from the logs otherwise."""
+"""Dashboard sections: Gold first, computed from the logs otherwise, and reduced ones where those fail."""
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.clocks import parse_ts, time_of
@@ -126,8 +129,13 @@ def gold_sections(tables: dict, limit: int = 10) -> dict:
     }
 
 
-def dashboard(spark, gold_dir, logs: dict, limit: int = 10) -> dict:
-    """Five DataFrames: from Gold if any of its tables has rows, else from the logs."""
+def dashboard(spark, gold_dir, logs, limit: int = 10, rest: Callable[[], tuple[DataFrame, DataFrame]] | None = None) -> dict:
+    """Five DataFrames: from Gold if any of its tables has rows, else from the logs, else from what is left of them.
+
+    `logs` is the dictionary of logs or a function that loads it. If they can't be loaded or lack
+    columns, `rest` gives quiz records and all records for the reduced sections, which keep
+    rows without a topic; without `rest` the error stands.
+    """
     names = [
         "topic_metrics", "recommendation_features", "user_engagement", "daily_activity",
         "learning_recommendations",
@@ -135,4 +143,9 @@ def dashboard(spark, gold_dir, logs: dict, limit: int = 10) -> dict:
     tables = {name: read_gold(spark, gold_dir, name) for name in names}
     if any(not frame.isEmpty() for frame in tables.values()):
         return gold_sections(tables, limit)
-    return log_sections(logs, limit)
+    try:
+        return log_sections(logs() if callable(logs) else logs, limit)
+    except (AnalysisException, KeyError):
+        if rest is None:
+            raise
+        return fallback_sections(*rest(), limit)

@@ -1,6 +1,6 @@
 """Operational table logic as set operations: dedup, upsert, fold, enrichment, appends."""
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import schemas
 from ..functions import text
@@ -82,19 +82,24 @@ def registry_texts(registry: DataFrame, uploads: DataFrame) -> DataFrame:
 
 
 def merge_uploads(uploads: DataFrame, batch: str = "batch_id", position: str = "position",
-                  most_files: int = 1000) -> DataFrame:
+                  most_bytes: int = 64 << 20) -> DataFrame:
     """Combine the files of each upload batch into one document, in upload order.
 
-    A batch is what one user uploads at once. Batches are counted before their texts are
-    gathered, and one of more than `most_files` files raises an error.
+    A batch of up to `most_bytes` bytes of text is one row, `part` 0. A longer one, such as all
+    uploads without a batch, comes as several rows numbered by `part`, each of which begins new once its
+    files would pass the bound and lists its own files; their texts, with two blank lines between,
+    are the batch's text. Files of one position stay together. Only lengths are put in order per batch;
+    the texts meet by (batch, part).
     """
-    sizes = uploads.groupBy(F.col(batch).alias("__batch")).agg(F.count("*").alias("__files"))
-    too_many = F.raise_error(F.concat(F.lit("too many files in upload batch "), F.col(batch).cast("string")))
-    uploads = uploads.join(sizes, F.col(batch).eqNullSafe(F.col("__batch"))).withColumn(
-        "filename", F.when(F.col("__files") > most_files, too_many.cast("string")).otherwise(F.col("filename"))
-    ).drop("__batch", "__files")
+    sizes = uploads.groupBy(F.col(batch).alias("__batch"), F.col(position).alias("__position")).agg(
+        F.sum(F.coalesce(F.octet_length("text_content"), F.lit(0))).alias("bytes"))
+    upto = F.sum("bytes").over(Window.partitionBy("__batch").orderBy("__position").rowsBetween(Window.unboundedPreceding, 0))
+    cut = F.floor(F.greatest(upto - 1, F.lit(0)) / most_bytes)
+    parts = sizes.select("__batch", "__position", cut.alias("__cut"))
+    numbered = parts.withColumn("part", F.dense_rank().over(Window.partitionBy("__batch").orderBy("__cut")) - 1)
+    same = F.col(batch).eqNullSafe(F.col("__batch")) & F.col(position).eqNullSafe(F.col("__position"))
     header = F.concat(F.lit("===== DOCUMENT: "), "filename", F.lit(" =====\n\n"), "text_content")
-    files = uploads.groupBy(batch).agg(
+    files = uploads.join(numbered, same).groupBy(batch, "part").agg(
         F.array_sort(
             F.collect_list(F.struct(position, "filename", "topic", "language", header.alias("section")))
         ).alias("files")
@@ -108,6 +113,7 @@ def merge_uploads(uploads: DataFrame, batch: str = "batch_id", position: str = "
         F.get(F.col("files.language"), F.lit(0)).alias("language"),
         F.array_join(F.col("files.section"), "\n\n\n").alias("text_content"),
         F.size("files").alias("n_files"),
+        "part",
     )
 
 
@@ -141,6 +147,43 @@ def latest_summaries(summaries: DataFrame) -> DataFrame:
     )
 
 
+def merge_summaries(stored: DataFrame, updates: DataFrame) -> DataFrame:
+    """Stored summaries with updates merged in by cache key: a key keeps its first id and creation time and takes the new content.
+
+    Both carry the columns of the summaries table, one row per `summary_hash` in `stored`. Several
+    updates of one key in a batch are first made one (`latest_summaries`). The result has the
+    columns of `stored`.
+    """
+    columns = stored.columns
+    new = latest_summaries(updates).alias("n")
+    old = stored.alias("o")
+    content, first = ("summary_text", "key_insights", "hierarchy_json"), ("id", "created_at")
+
+    def chosen(name: str) -> Column:
+        own, other = F.col(f"o.{name}"), F.col(f"n.{name}")
+        if name in content:
+            return F.when(F.col("n.summary_hash").isNotNull(), other).otherwise(own)
+        if name in first:
+            return F.when(F.col("o.summary_hash").isNotNull(), own).otherwise(other)
+        return F.coalesce(own, other)
+
+    return old.join(new, F.col("o.summary_hash") == F.col("n.summary_hash"), "full").select(
+        *[chosen(c).alias(c) for c in columns])
+
+
+def new_summary_rows(summaries: DataFrame, first_id: Column, now: Column, spread: int = 64) -> DataFrame:
+    """Computed summaries as rows of the summaries table, with ids from `first_id` on and `now` as their time.
+
+    Ids are numbered inside `spread` shares of the keys and interleaved: they are unique and larger than
+    all earlier ones, and no task numbers all rows.
+    """
+    share = F.pmod(F.xxhash64("summary_hash"), F.lit(spread))
+    place = F.row_number().over(Window.partitionBy(share).orderBy("summary_hash"))
+    return summaries.select(
+        (first_id + (place - 1) * spread + share).cast("long").alias("id"), "user_id", "document_id", "summary_hash",
+        "method", "mode", "target_language", "summary_text", "key_insights", "hierarchy_json", now.alias("created_at"))
+
+
 def cached_summaries(requests: DataFrame, summaries: DataFrame) -> DataFrame:
     """Requests that have a stored summary, with it."""
     stored = latest_summaries(summaries).select(

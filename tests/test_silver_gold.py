@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyroom import schemas
@@ -147,6 +148,22 @@ def test_dashboard_prefers_gold(spark, tmp_path, log):
     assert set(stored) == set(computed) == {"hardest", "weak", "top", "trend", "recommendations"}
 
 
+def test_dashboard_falls_back_when_the_logs_cannot_be_used(spark, log, tmp_path):
+    broken = dict.fromkeys(("quiz", "chat", "activity", "event_lake"), log.drop("topic"))
+
+    def missing():
+        raise KeyError("no logs")
+
+    expected = {k: rows(v) for k, v in dashboards.fallback_sections(log, log, 3).items()}
+    for logs in (broken, missing):
+        with pytest.raises((AnalysisException, KeyError)):
+            dashboards.dashboard(spark, tmp_path / "gold", logs, 3)
+        got = dashboards.dashboard(spark, tmp_path / "gold", logs, 3, rest=lambda: (log, log))
+        assert {k: rows(v) for k, v in got.items()} == expected
+    loaded = dashboards.dashboard(spark, tmp_path / "gold", lambda: dict.fromkeys(broken, log), 3, rest=missing)
+    assert loaded["hardest"].count() > 0
+
+
 def test_fallback_variant_keeps_null_groups(log):
     got = dashboards.fallback_sections(log, log)
     assert {r["topic"] for r in got["hardest"].collect()} == {" python ", "python", "general", ""}

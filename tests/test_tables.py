@@ -86,8 +86,24 @@ def test_merge_keeps_order_and_unique_topics(frame):
     got = tables.merge_uploads(files).first()
     assert (got["filename"], got["topic"], got["language"]) == ("a.txt + b.txt + c.txt", "t, u", "en")
     assert got["text_content"].split("\n\n\n")[1] == "===== DOCUMENT: b.txt =====\n\nB"
-    with pytest.raises(Exception, match="too many files in upload batch 1"):
-        tables.merge_uploads(files, most_files=2).collect()
+
+
+def test_long_batches_come_in_parts(spark, frame):
+    """A batch of 5,000 files and one of uploads without a batch: whole texts, in order, none refused."""
+    many = spark.range(5000).selectExpr("7L as batch_id", "id as position", "concat('f', id) as filename", "'t' as topic", "'en' as language",
+                                        "repeat('x', cast(id % 50 as int)) as text_content")
+    loose = frame("batch_id long, position long, filename string, topic string, language string, text_content string",
+                  (None, 1, "a", "t", "en", "A" * 30), (None, 1, "b", "t", "en", None), (None, 2, "c", "u", "fr", "C" * 5000), (None, 3, "d", "u", "fr", ""))
+    merged = tables.merge_uploads(many.union(loose).repartition(5), most_bytes=1000).orderBy("batch_id", "part").collect()
+    for batch, source in ((7, many), (None, loose)):
+        own = [r for r in merged if r["batch_id"] == batch]
+        assert [r["part"] for r in own] == list(range(len(own))) and len(own) > 1
+        files = source.orderBy("position", "filename").collect()
+        assert " + ".join(r["filename"] for r in own) == " + ".join(r["filename"] for r in files)
+        texts = [f"===== DOCUMENT: {f['filename']} =====\n\n{f['text_content']}" for f in files if f["text_content"] is not None]
+        assert "\n\n\n".join(r["text_content"] for r in own if r["text_content"]) == "\n\n\n".join(texts)
+        assert sum(r["n_files"] for r in own) == len(files)
+    assert len(tables.merge_uploads(many).collect()) == 1
 
 
 def test_event_rows(frame):
