@@ -12,9 +12,9 @@ from ..functions.binding import let
 from .shared import GAP
 
 # What a line may end with, what separates navigation, and phrases of boilerplate.
-ENDINGS = r"[.!?:;,\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"')\]\x{201D}\x{2019}\x{00BB}]*[\x20\x09-\x0D]*$"
+ENDINGS = r"[.!?:;,\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"')\]\x{201D}\x{2019}\x{00BB}]*[\x20\x09-\x0D]*\z"
 SYMBOLS = r"[#*$%&|<>]"
-SEPARATOR = r"(^|[\x20\x09-\x0D])([|>/\x{00BB}\x{203A}\x{2022}\x{00B7}]|>>)([\x20\x09-\x0D]|$)"
+SEPARATOR = r"(^|[\x20\x09-\x0D])([|>/\x{00BB}\x{203A}\x{2022}\x{00B7}]|>>)([\x20\x09-\x0D]|\z)"
 BOILERPLATE = (
     r"(?i)(all rights reserved|cookie policy|privacy policy|terms of (use|service)|accept (all )?cookies|"
     r"enable javascript|subscribe to our newsletter|sign in to continue|skip to (main )?content|lorem ipsum)"

@@ -37,6 +37,7 @@ def test_counts_match_brute_force(spark):
 
 @pytest.mark.parametrize(("line", "passes"), [
     ("", True), ("  ", True), ("A sentence ends here.", True), ("Too short", False), ("Short but ends!", True),
+    ("a.\u2028", False), ("a.\u2029", False), ("a.\u0085", False), ("a.\r", True), ("a |\u2028 b c d e f", True),
     ("a longer line of words without an end", True), ("home | news | about | more", False),
     ("Read our Privacy Policy before you go on with this.", False), ("### *** $$$ ends.", False),
     ("he said “yes it is so.”", True), ("a > b and c > d are facts of order here now", True)])
