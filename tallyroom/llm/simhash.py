@@ -198,5 +198,6 @@ def one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     order = F.struct(F.col(doc_id).isNull().alias("n"), F.col(doc_id).alias("d"), F.col("__row").alias("r"))
     marked = copy.select(F.col("__fingerprint").alias("fingerprint"), F.col("__row"), order.alias("order"))
     named = named_components(marked, budget, "order")
-    dropped = marked.join(named, "fingerprint").where(F.col("component_id.r") != F.col("__row")).select("__row")
+    # Written first: Spark then knows its size, and sends it to the texts where it is small enough.
+    dropped = stored(marked.join(named, "fingerprint").where(F.col("component_id.r") != F.col("__row")).select("__row"))
     return copy.join(dropped, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in columns])
