@@ -4,9 +4,9 @@ A document's ids are cut at every full window; what is left over is a remainder
 1 to window - 1 ids. Shallow combinations of lengths that fill a window exactly (one,
 two or three remainders) are the columns of a least-squares problem whose unknowns are
 repeat counts and whose right side is the histogram of remainders. The solution is
-rounded down to what is there, exact combinations for what is left are taken greedily,
-and the residuals are cut into powers of two, which greedy packing in descending order
-lays end to end without a gap. Only the last windows are shorter, and those are powers
+rounded by the largest remainders to what is there, exact combinations for what is left
+are taken greedily, and the residuals are cut into powers of two, which greedy packing in
+descending order lays end to end without a gap. Only the last windows are shorter, and those are powers
 of two too, so nothing is padded.
 
 The driver sees the histogram (at most `window` counts) and nothing else. Pieces get
@@ -113,10 +113,11 @@ def repeat_counts(combos: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return x
 
 
-def plan(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, int]:
+def plan(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Windows for remainders: slots (length, first rank, repeats, first window, offset), used ranks, windows.
 
-    `counts[l]` is the number of remainders of length l.
+    `counts[l]` is the number of remainders of length l. Last comes how many of the windows are
+    the solved repeat counts; the others are greedy.
     """
     left = counts.astype(np.int64).copy()
     left[0] = left[window] = 0
@@ -138,10 +139,18 @@ def plan(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, int]:
 
     combos = combinations(left, window)
     x = repeat_counts(combos, left)
+    whole = np.floor(x).astype(np.int64)
     for i in np.argsort(-x, kind="stable"):
-        if x[i] < 1:
+        if whole[i] < 1:
             break
-        take(combos[i], int(x[i]))
+        take(combos[i], int(whole[i]))
+    # The rest of the solution, as many windows as its fractions add up to: the largest fractions that still fit.
+    due = windows + round(float((x - whole).sum()))
+    for i in np.argsort(whole - x, kind="stable"):
+        if windows >= due:
+            break
+        take(combos[i], 1)
+    solved = windows
     # What is left: the longest first, with whatever fills the window exactly.
     for length in range(window - 1, window // 3 - 1, -1):
         while left[length]:
@@ -159,7 +168,7 @@ def plan(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, int]:
                 take([length, rest - a, a], left[length])
             if windows == before:
                 break
-    return np.array(slots, np.int64).reshape(-1, 5), used, windows
+    return np.array(slots, np.int64).reshape(-1, 5), used, windows, solved
 
 
 def packed(documents: DataFrame, tokenizer: Callable[[], ByteLevel], cache: str, doc_id: str = "doc_id", text: str = "text",
@@ -177,7 +186,7 @@ def packed(documents: DataFrame, tokenizer: Callable[[], ByteLevel], cache: str,
     counts = np.zeros(window + 1, np.int64)
     for row in rows.groupBy("length").count().collect():  # at most `window` rows
         counts[row["length"]] = row["count"]
-    slots, used, windows = plan(counts, window)
+    slots, used, windows, _ = plan(counts, window)
     assign = _assigner(counts, slots, used, windows, window)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.join(shifts, ["task", "length"]).select(

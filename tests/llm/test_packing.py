@@ -75,8 +75,8 @@ def test_plans_never_take_more_than_there_is(seed):
     counts = np.zeros(257, np.int64)
     for length in pick.integers(1, 256, 3 + 60 * seed):
         counts[length] += pick.integers(1, 200)
-    slots, used, windows = packing.plan(counts, 256)
-    assert (used <= counts).all()
+    slots, used, windows, solved = packing.plan(counts, 256)
+    assert (used <= counts).all() and 0 <= solved <= windows
     fill, ranks = np.zeros(windows, int), defaultdict(list)
     for length, first, repeats, begin, _ in slots:
         fill[begin:begin + repeats] += length
@@ -121,3 +121,16 @@ def test_parts_are_remembered_within_bounds():
         known.update(dict.fromkeys(new, b""))
         assert keys <= known.keys() and len(known) <= 13
         assert start == 0 or "often" not in new
+
+
+def test_most_windows_are_the_solved_counts(spark):
+    """The histogram of the given documents, and a larger one of the same kind."""
+    own = ByteLevel(PATH, public_tokenizers.PATTERN, added=True)
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    lengths = np.array([(len(ids) // 4 + 1) % 2048 for ids in own.of_texts(texts)])
+    counts = np.bincount(lengths, minlength=2049)
+    _, _, windows, solved = packing.plan(counts, 2048)
+    assert solved > windows / 2
+    spread = np.random.default_rng(1).integers(-40, 41, 10 * len(lengths)) + np.tile(lengths, 10)
+    _, _, windows, solved = packing.plan(np.bincount(np.clip(spread, 1, 2047), minlength=2049), 2048)
+    assert solved > 0.7 * windows
