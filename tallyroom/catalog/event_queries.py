@@ -1,6 +1,8 @@
 """Queries over events: normalisation, Gold tables, dashboards, streaming metrics."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import numbers, text
 from ..functions.numbers import round_half_up
@@ -342,10 +344,29 @@ def hardest_topics(t):
     return dashboards.hardest_topics(t.log_records)
 
 
-@query("f12_dashboard_sections", f"""WITH {EV}, {_LOG_METRICS} SELECT topic, difficulty_score FROM metrics
-  ORDER BY difficulty_score DESC, attempts DESC, events DESC, topic LIMIT 5""")
+@query("f12_dashboard_sections", f"""WITH {EV}, {_LOG_METRICS}, hardest AS (
+    SELECT * FROM metrics ORDER BY difficulty_score DESC, attempts DESC, events DESC, topic LIMIT 5),
+  weak AS ({_WEAK} WHERE event_type = 'purchase' AND topic IS NOT NULL GROUP BY 1, 2 ORDER BY 1, avg_score NULLS FIRST, attempts DESC, topic LIMIT 10),
+  top AS (SELECT CAST(user_id AS VARCHAR) AS user_id, {mean_sql("score")} AS avg_score, count(*) AS attempts, {rounded("max(score)")} AS best_score
+    FROM ev WHERE event_type = 'purchase' GROUP BY 1 ORDER BY avg_score DESC, best_score DESC, attempts DESC, 1 LIMIT 5)
+  SELECT 'hardest' AS section, topic AS key, difficulty_score AS score, events AS n FROM hardest
+  UNION ALL SELECT 'weak', user_id || ' ' || topic, avg_score, attempts FROM weak
+  UNION ALL SELECT 'top', user_id, avg_score, attempts FROM top
+  UNION ALL SELECT 'trend', CAST(CAST(ts AS DATE) AS VARCHAR), {mean_sql("score")}, count(*) FROM ev GROUP BY CAST(ts AS DATE)
+  UNION ALL SELECT 'recommendations', topic || ': ' || CASE WHEN avg_score < 60 THEN 'Revise this topic first and retry a medium quiz.'
+    ELSE 'Keep practicing with a harder quiz.' END, difficulty_score, events FROM hardest""")
 def dashboard_sections(t):
-    return dashboards.log_sections(t.logs, 5)["hardest"].select("topic", "difficulty_score")
+    sections = dashboards.log_sections(t.logs, 5)
+    shown = {
+        "hardest": ("topic", "difficulty_score", "events"),
+        "weak": ("concat(user_id, ' ', topic)", "avg_score", "attempts"),
+        "top": ("user_id", "avg_score", "attempts"),
+        "trend": ("cast(event_date as string)", "avg_score", "events"),
+        "recommendations": ("concat(topic, ': ', recommendation)", "difficulty_score", "events"),
+    }
+    return reduce(DataFrame.unionByName, [
+        sections[name].selectExpr(f"'{name}' as section", f"{key} as key", f"{score} as score", f"cast({n} as long) as n")
+        for name, (key, score, n) in shown.items()])
 
 
 @query("f13_fallback_hardest", f"""WITH {EV} SELECT *,

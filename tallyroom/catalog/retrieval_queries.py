@@ -233,9 +233,10 @@ def topic_matches(t):
 # ---- index and question bank --------------------------------------------------------
 
 
-@query("k16_question_rows", """SELECT conv_id AS document_id, role AS topic, 'multiple_choice' AS question_type, 'medium' AS difficulty_level,
-  regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS question_text, '["a","b"]' AS options_json, 0.75 AS quality_score, CAST(0 AS BIGINT) AS struggle_count
-  FROM conversations""".replace("\\\\", "\\").replace("0.75 AS", "CAST(0.75 AS DOUBLE) AS"))
+@query("k16_question_rows", r"""SELECT conv_id AS document_id, role AS topic, 'multiple_choice' AS question_type, 'medium' AS difficulty_level,
+  'intermediate' AS skill_level, regexp_replace(text, '^\s+|\s+$', '', 'g') AS question_text, '["a","b"]' AS options_json, role AS answer_text,
+  '' AS explanation, CAST(0.75 AS DOUBLE) AS quality_score, CAST(0 AS BIGINT) AS struggle_count,
+  '2024-01-01T00:00:00' AS created_at, '2024-01-01T00:00:00' AS last_used_at FROM conversations""")
 def question_rows(t):
     none = F.lit(None).cast("string")
     rows = t.table("conversations").select(
@@ -243,17 +244,13 @@ def question_rows(t):
         none.alias("difficulty"), none.alias("skill_level"), F.col("text").alias("question"),
         F.array(F.lit("a"), F.lit("b")).alias("options"), F.col("role").alias("answer"), none.alias("explanation"),
         F.lit(None).cast("double").alias("quality_score"))
-    stored = questions.question_rows(rows, F.lit("2024-01-01T00:00:00"))
-    return stored.select("document_id", "topic", "question_type", "difficulty_level", "question_text", "options_json",
-                         "quality_score", "struggle_count")
+    return questions.question_rows(rows, F.lit("2024-01-01T00:00:00"))
 
 
-@query("k17_build_index", """SELECT doc_id AS chunk_id, length(text) AS n_chars, label FROM documents LEFT JOIN embeddings ON vec_id = doc_id""")
+@query("k17_build_index", """SELECT doc_id AS chunk_id, text, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS embedding
+  FROM documents LEFT JOIN embeddings ON vec_id = doc_id""")
 def build_index(t):
-    vectors = t.table("embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding", F.col("label"))
-    index = retrieval.build_index(_chunks(t), vectors)
-    return index.join(vectors.select("chunk_id", "label"), "chunk_id", "left").select(
-        "chunk_id", F.length("text").cast("long").alias("n_chars"), "label")
+    return _index(t).select("chunk_id", "text", F.col("embedding").cast("array<double>").alias("embedding"))
 
 
 @query("k18_question_package")

@@ -100,10 +100,10 @@ def propagate_summaries(t):
 
 
 @query("d7_question_quality", f"""WITH {EV}, steps AS (SELECT k AS id, list(event_type = 'error' ORDER BY ts) AS misses,
-  count(*) FILTER (WHERE event_type = 'error') AS n FROM ev GROUP BY k)
+  count(*) FILTER (WHERE event_type = 'error') AS n, max(ts) AS last FROM ev GROUP BY k)
   SELECT id, {rounded('''list_reduce(misses, lambda q, m: CASE WHEN m THEN greatest(0, q - 0.05) ELSE least(1, q + 0.02) END, 0.5::DOUBLE)''', 6)}
-    AS quality_score, CAST(n AS BIGINT) AS struggle_count FROM
-  (SELECT id, list_transform(misses, lambda m: CASE WHEN m THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS misses, n FROM steps)""".replace(
+    AS quality_score, CAST(n AS BIGINT) AS struggle_count, last AS last_used_at FROM
+  (SELECT id, list_transform(misses, lambda m: CASE WHEN m THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS misses, n, last FROM steps)""".replace(
     "CASE WHEN m THEN greatest", "CASE WHEN m = 1 THEN greatest"))
 def question_quality(t):
     questions = t.events.select(F.col("k").alias("id")).distinct().withColumns({
@@ -111,7 +111,8 @@ def question_quality(t):
     attempts = t.events.select(
         F.col("k").alias("question_id"), F.col("event_id").alias("attempt_id"), F.col("ts").alias("attempted_at"),
         (F.col("event_type") == "error").alias("struggled"))
-    return tables.update_question_quality(questions, attempts).drop("last_used_at")
+    return tables.update_question_quality(questions, attempts).withColumn(
+        "last_used_at", F.col("last_used_at").cast("timestamp_ntz"))
 
 
 @query("d8_cached_questions", f"""WITH {EV}, bank AS (SELECT event_id AS id, k AS document_id, event_type AS difficulty_level, value, ts,
@@ -229,9 +230,10 @@ def numeric_summary(t):
     return _rounded_summary(profiling.numeric_summary(t.table("lineitem")))
 
 
-@query("h2_numeric_summary_missing", f"WITH {EV} " + " UNION ALL ".join(_summary_sql(c, "ev") for c in ("value", "score")))
+@query("h2_numeric_summary_missing", f"WITH {EV} " + " UNION ALL ".join(
+    _summary_sql(c, "ev") for c in ("event_id", "user_id", "value", "k", "score")))
 def numeric_summary_missing(t):
-    return _rounded_summary(profiling.numeric_summary(t.events.select("value", "score", "topic")))
+    return _rounded_summary(profiling.numeric_summary(t.events))
 
 
 @query("h3_top_categories", f"""WITH {EV} SELECT coalesce(topic, 'Missing') AS topic, count(*) AS count FROM ev GROUP BY 1
@@ -269,11 +271,11 @@ def detect_anomalies(t):
     return profiling.detect_anomalies(t.table("events").select("event_id", "value"), "value")
 
 
-@query("h7_infer_time_column", "SELECT 'ts' AS time_column, count(*) AS rows FROM events")
+@query("h7_infer_time_column", """SELECT 'ts' AS time_column, count(*) AS rows, min(ts) AS first, max(ts) AS last FROM events""")
 def infer_time_column(t):
-    frame = t.table("events").select("user_id", "event_type", "value", "ts")
-    name, _ = profiling.infer_time_series(frame)
-    return frame.agg(F.lit(name).alias("time_column"), F.count("*").alias("rows"))
+    name, parsed = profiling.infer_time_series(t.table("events"))
+    times = F.col(name).cast("timestamp_ntz")
+    return parsed.agg(F.lit(name).alias("time_column"), F.count("*").alias("rows"), F.min(times).alias("first"), F.max(times).alias("last"))
 
 
 @query("h8_build_time_series", f"""SELECT strftime(o_orderdate, '%Y-%m') AS o_orderdate, {rounded("sum(o_totalprice)")} AS o_totalprice
