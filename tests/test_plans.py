@@ -11,9 +11,8 @@ from tallyroom.catalog.registry import Tables
 
 QUERIES = all_queries()
 PYTHON_NODES = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroups", "FlatMapCoGroups")
-# These score queries against chunks in batches inside the tasks.
-IN_PANDAS = {"e3_lexical_candidates", "k2_lexical_top_k", "e4_nearest_vectors", "k3_vector_top_k", "k4_retrieve",
-             "k8_units_from_chunks", "k9_answer_questions"}
+# These score query vectors against chunks in batches inside the tasks.
+IN_PANDAS = {"e4_nearest_vectors", "k3_vector_top_k", "k4_retrieve"}
 FITS_MODELS = {"h9_student_clusters", "h10_performance_predictions"}
 
 
@@ -109,3 +108,21 @@ def test_figures_of_many_columns_scan_the_data_once(spark):
         assert final.count("FileScan parquet") == 1, name
         inner = final[final.index("FileScan parquet") - 4000:final.index("FileScan parquet")]
         assert re.search(r"\*\(\d+\) HashAggregate.*partial", inner), name
+
+
+@pytest.mark.parametrize("name", ["e3_lexical_candidates", "k2_lexical_top_k", "k4_retrieve"])
+def test_words_are_found_without_moving_texts(spark, name):
+    """Below every shuffle of chunk rows the text is cut already: its column is in no exchange."""
+    query = QUERIES[name](spark, DATA)
+    found = query._jdf.queryExecution().executedPlan().toString()
+    assert "split(trim(text#" in found
+    for line in found.split("\n"):
+        if "Exchange hashpartitioning" in line and "REPARTITION_BY_COL" in line:
+            assert re.search(r"hashpartitioning\(chunk_id#\d+L?, ", line)
+    if name != "k4_retrieve":
+        assert "CoGroups" not in found
+
+
+def test_corpus_words_are_never_broadcast(spark):
+    frame = QUERIES["e3_lexical_candidates"](spark, DATA)
+    assert "SortMergeJoin [term#" in plan(frame) and "SortMergeJoin [piece#" in plan(frame)
