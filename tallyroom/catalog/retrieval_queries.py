@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.binding import rows_of
-from ..operators import answers, questions, retrieval, topics
+from ..operators import answers, questions, retrieval, topics, vectors
 from .registry import query, rounded
 from .text_queries import _list, sentences_sql, strip_sql, tokens_sql, units_sql, words_sql
 
@@ -132,6 +132,12 @@ def vector_top_k(t):
     return retrieval.vector_top_k(queries, _index(t), 5)
 
 
+@query("k3_vector_top_k_by_cells", f"WITH {_ALL_VECTORS}, {_vector_sql('qv')} SELECT * FROM vec")
+def vector_top_k_by_cells(t):
+    queries = t.table("embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieval.vector_top_k(queries, _index(t), 5, pivots=vectors.PIVOTS)
+
+
 _MIXED_Q = """raw AS (SELECT item_id, text, unnest([0, 1, 2]) AS variant FROM benchmark),
   q AS (SELECT item_id * 3 + variant AS query_id, CASE variant WHEN 0 THEN text WHEN 1 THEN 'zzqzz' ELSE lower(text[1]) END AS query FROM raw),
   qv AS (SELECT item_id * 3 + variant AS query_id, embedding AS qe FROM raw JOIN embeddings ON vec_id = item_id WHERE variant < 2)"""

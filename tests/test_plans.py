@@ -12,7 +12,7 @@ from tallyroom.catalog.registry import Tables
 QUERIES = all_queries()
 PYTHON_NODES = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroups", "FlatMapCoGroups")
 # These score query vectors against chunks in batches inside the tasks.
-IN_PANDAS = {"e4_nearest_vectors", "k3_vector_top_k", "k4_retrieve"}
+IN_PANDAS = {"e4_nearest_vectors", "k3_vector_top_k", "k3_vector_top_k_by_cells", "k4_retrieve"}
 FITS_MODELS = {"h9_student_clusters", "h10_performance_predictions"}
 
 
