@@ -37,6 +37,10 @@ GIVEN = {
 }
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "", "Herr": "m", "Frau": "f", "Monsieur": "m",
           "Madame": "f", "Señor": "m", "Señora": "f", "Господин": "m", "Госпожа": "f"}
+#: Address ranges with a use of their own (start, prefix length); all other addresses are public.
+NETWORKS = (("0.0.0.0", 8), ("10.0.0.0", 8), ("100.64.0.0", 10), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12),
+            ("192.0.2.0", 24), ("192.168.0.0", 16), ("198.18.0.0", 15), ("198.51.100.0", 24), ("203.0.113.0", 24),
+            ("224.0.0.0", 4), ("240.0.0.0", 4))
 CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "àáâäèéêëìíîïòóôöùúûü",
            "ãåæõøýÿ", "çðñþ", "ъьё")
 #: Attempts at a surrogate, after which clashes are an error. Every eighth makes the form longer by a character.
@@ -45,6 +49,8 @@ LAST_ATTEMPT, GROWS = 64, 8
 _OF = {c: group for group in CLASSES for c in group}
 _ALPHABETS = dict(_OF)
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
+#: Canonical forms of the given names of the lists.
+LISTED = sorted(f"{gender}:{name.lower()}" for name, (_, gender) in _GENDER.items())
 _NAMES = "|".join(sorted(_GENDER, key=len, reverse=True))
 _TITLES = "|".join(sorted(TITLES, key=len, reverse=True))
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞА-Я][\w'’-]*[^\W\d_]"
@@ -116,18 +122,56 @@ def luhn_digit(digits: str) -> int:
     return -total % 10
 
 
+def _address(form: str) -> int:
+    value = 0
+    for part in form.split("."):
+        value = value << 8 | int(part)
+    return value
+
+
+_RANGES = [(_address(start), 1 << 32 - length) for start, length in NETWORKS]
+
+
+def _range(value: int) -> tuple[int, int] | None:
+    return next(((start, size) for start, size in _RANGES if start <= value < start + size), None)
+
+
+def _other_address(form: str, key: bytes, attempt: int) -> str:
+    """An address of the same range; public ones stay public. Late attempts take a public one, as small ranges may be full."""
+    value, own = _address(form), _range(_address(form))
+    if own and attempt < GROWS:
+        value = own[0] + permuted(value - own[0], own[1], key, "ip", attempt, own[0])
+    else:  # the permutation is walked until it leaves the ranges, so different addresses stay different
+        value = permuted(value, 1 << 32, key, "ip", attempt)
+        while _range(value):
+            value = permuted(value, 1 << 32, key, "ip", attempt)
+    return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
+
+
+def iban_digits(country: str, body: str) -> int:
+    """The check digits of an account number, 2 to 98."""
+    return 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+
+
+def _other_account(form: str, key: bytes, *tweak) -> str:
+    """Another account of the same country; check digits that hold do so again, and others are off by as much."""
+    country, digits, body = form[:2], int(form[2:4]), form[4:]
+    new = _shaped(body, key, *tweak, country)
+    if 2 <= digits <= 98:
+        digits = (digits - iban_digits(country, body) + iban_digits(country, new) - 2) % 97 + 2
+    return f"{country}{digits:02d}{new}"
+
+
 def surrogate(kind: str, form: str, key: bytes, attempt: int = 0) -> str:
     """The surrogate of a canonical form; `attempt` picks another permutation. Late attempts grow by a character."""
     tweak = (kind, attempt)
-    if attempt >= GROWS and kind not in ("ip", "given"):
+    if attempt >= GROWS and kind != "ip" and not (kind == "given" and form in LISTED):
         body, at, domain = form.partition("@") if kind == "email" else (form, "", "")
         form = body + "a0"[body[-1:].isdigit()] * (attempt // GROWS) + at + domain
     if kind == "ip":
-        value = 0
-        for part in form.split("."):
-            value = value << 8 | int(part)
-        value = permuted(value, 1 << 32, key, *tweak)
-        return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
+        return _other_address(form, key, attempt)
+    if kind == "iban":
+        return _other_account(form, key, *tweak)
     if kind == "card":
         body = _shaped(form[:-1], key, *tweak)
         return body + str((luhn_digit(body) + int(form[-1]) - luhn_digit(form[:-1])) % 10)
@@ -238,14 +282,18 @@ def _exceptions(mentions: DataFrame, key: bytes) -> DataFrame:
         return pd.Series([surrogate(k, f, key, a) for k, f, a in zip(kind, form, attempt, strict=True)], dtype=object)
 
     known = stored(mentions.select("kind", "form").distinct())
-    # Given names come from short lists: theirs are distinct by the list's order and may occur elsewhere.
-    state = stored(known.where("kind <> 'given'").withColumn("attempt", F.lit(0)).withColumn("new", new_form("kind", "form", F.lit(0))))
-    occurring = known.select("kind", F.col("form").alias("new"))
+    # The short lists of given names may be used up: their surrogates are distinct by the list's order and may occur
+    # elsewhere. Other given names yield to them. Names are compared without the gender in front of them.
+    listed = (F.col("kind") == "given") & F.col("form").isin(LISTED)
+    shown = F.substring_index("new", ":", -1)
+    state = stored(known.withColumn("attempt", F.lit(0)).withColumn("new", new_form("kind", "form", F.lit(0))).withColumn("shown", shown))
+    occurring = known.select("kind", F.substring_index("form", ":", -1).alias("shown")).distinct()
     attempt = 0
     while True:
-        clash = state.join(occurring, ["kind", "new"], "left_semi")
-        meet = state.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "form")).alias("keeps")).where("n > 1")
-        second = state.join(meet, ["kind", "new"]).where("form <> keeps.form").select(*state.columns)
+        clash = state.where(~listed).join(occurring, ["kind", "shown"], "left_semi").select(*state.columns)
+        first = F.min(F.struct((~listed).alias("late"), "attempt", "form")).alias("keeps")
+        meet = state.groupBy("kind", "shown").agg(F.count("*").alias("n"), first).where("n > 1")
+        second = state.join(meet, ["kind", "shown"]).where("form <> keeps.form").select(*state.columns)
         again = stored(clash.unionByName(second).select("kind", "form").distinct())
         count = again.count()
         if not count:
@@ -254,7 +302,7 @@ def _exceptions(mentions: DataFrame, key: bytes) -> DataFrame:
         if attempt > LAST_ATTEMPT:
             raise ValueError(f"{count} entities still need another surrogate after {LAST_ATTEMPT} attempts; their formats leave too few forms")
         kept = state.join(again, ["kind", "form"], "left_anti")
-        moved = again.withColumn("attempt", F.lit(attempt)).withColumn("new", new_form("kind", "form", F.lit(attempt)))
+        moved = again.withColumn("attempt", F.lit(attempt)).withColumn("new", new_form("kind", "form", F.lit(attempt))).withColumn("shown", shown)
         state = stored(kept.unionByName(moved))
 
 

@@ -35,6 +35,50 @@ def test_card_checksums_keep_their_state():
         assert (s.luhn_digit(new[:-1]) == int(new[-1])) is state
 
 
+def test_accounts_keep_country_and_check_digits():
+    good = ["de89370400440532013000", "gb82west12345698765432", "fr1420041010050500013m02606"]
+    assert all(s.iban_digits(f[:2], f[4:]) == int(f[2:4]) for f in good)
+    for form in good:
+        news = {s.surrogate("iban", f"{form[:2]}{d:02d}{form[4:]}", KEY) for d in range(100)}
+        assert len(news) == 100 and {n[:2] for n in news} == {form[:2]}
+        holds = s.surrogate("iban", form, KEY)
+        assert holds != form and s.iban_digits(holds[:2], holds[4:]) == int(holds[2:4])
+        assert sum(s.iban_digits(n[:2], n[4:]) == int(n[2:4]) for n in news) == 1
+
+
+def test_addresses_stay_in_their_range():
+    import ipaddress
+
+    nets = [ipaddress.ip_network(f"{start}/{length}") for start, length in s.NETWORKS]
+
+    def net(form):
+        return next((n for n in nets if ipaddress.ip_address(form) in n), None)
+
+    forms = [str(n[i]) for n in nets for i in (0, 1, 100, -1)] + ["8.8.8.8", "1.1.1.1", "192.0.3.9", "172.32.0.1", "223.255.255.255"]
+    new = [s.surrogate("ip", f, KEY) for f in forms]
+    assert [net(f) for f in forms] == [net(n) for n in new]
+    assert len(set(new)) == len(forms)
+    small = [f"198.51.100.{i}" for i in range(256)]
+    assert sorted(s.surrogate("ip", f, KEY) for f in small) == sorted(small)
+    late = [s.surrogate("ip", f, KEY, s.GROWS) for f in small]
+    assert len(set(late)) == 256 and not any(map(net, late))
+
+
+def test_a_full_range_and_unlisted_given_names_stay_apart(spark):
+    names = [f"{a}{b}{c}" for a in "BCDF" for b in "aeiou" for c in "ln"]
+    texts = [f"host 198.51.100.{i} up" for i in range(256)] + [f"Mr {n} Stonefield and Frau {n} came" for n in names]
+    texts += ["Anna Keller, Maria Keller, Peter Keller and John Keller"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in s.with_surrogates(frame, KEY).collect()}
+    hosts = {re.search(r"host (\S+) up", out[i])[1] for i in range(256)}
+    assert len(hosts) == 256 and not hosts & {f"198.51.100.{i}" for i in range(256)}
+    new = {}
+    for i, n in enumerate(names):
+        new[n] = re.match(r"Mr (\w+) ", out[256 + i])[1]
+    given = [*new.values(), *re.findall(r"(\w+) \w+", out[len(texts) - 1])[:1]]
+    assert len(set(given)) == len(given) and not set(new.values()) & set(names)
+
+
 def test_people_match_gender_and_script_and_stay_one_person():
     text = "Mrs. Maria Keller met John Smith. Keller left; Smith stayed. Госпожа Анна Петрова пришла."
     new, count = s.replaced(text, KEY, {})
