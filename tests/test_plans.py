@@ -62,6 +62,16 @@ def test_text_ranking_shuffles_once(spark, name):
     assert plan(QUERIES[name](spark, DATA)).count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("name", [
+    "j14_tfidf_summary", "j15_textrank_summary", "j16_important_sentences", "j16_page_lines",
+    "j22_hybrid_bullets"])
+def test_tokens_never_become_rows(spark, name):
+    """Only what a document yields in the end is exploded: the token table would be sorted and spilled."""
+    text = plan(QUERIES[name](spark, DATA))
+    assert text.count("Generate posexplode") == 1
+    assert "ObjectHashAggregate(keys=[doc_id" in text and "token" not in re.findall(r"keys=\[([^]]*)", text)
+
+
 def test_columns_and_filters_reach_the_scan(spark):
     text = plan(QUERIES["c11_rows_of_user"](spark, DATA))
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,42)]" in text

@@ -251,3 +251,35 @@ def test_summaries_use_the_cache_and_compute_misses(spark, frame):
 def test_word_frequencies_need_three_letters(frame):
     docs = frame("id long, text string", (1, "The cat, the CAT! ox is dog's dog"))
     assert rows(ranking.word_frequencies(docs, "text")) == [("cat", 2), ("dog", 1), ("dogs", 1)]
+
+
+def test_texts_of_equal_keys_are_scored_together(spark, frame):
+    """A sentence that comes twice at one place counts its words twice, but is one sentence of the document."""
+    once = [(1, "red fox runs over hills. blue fox sits near lakes."), (None, "grey owls fly over woods.")]
+    short, other = "red fox runs over hills.", "red fox runs over hills. green frogs sit near ponds."
+    found = {}
+    for name, extra in (("once", []), ("twice", once), ("other", [(1, other)]), ("short", [(1, short)])):
+        docs = frame("doc_id long, text string", *once, *extra, (2, None), (3, ""))
+        scored = ranking.scored_sentences(docs, ["doc_id"], text.sentences(F.col("text")))
+        found[name] = {(r["doc_id"], r["pos"]): r for r in scored.collect()}
+        assert len(found[name]) == 3
+    for place, r in found["once"].items():
+        twice = found["twice"][place]
+        assert (twice["sentence"], twice["n_tokens"], twice["textrank"]) == (r["sentence"], r["n_tokens"], r["textrank"])
+        assert abs(twice["tfidf"] - 2 * r["tfidf"]) < 1e-8
+    assert found["other"][1, 1]["sentence"] == "green frogs sit near ponds."
+    assert found["short"][1, 1]["tfidf"] == found["once"][1, 1]["tfidf"]
+
+
+def test_long_documents_are_scored_in_time_of_their_length(spark, frame):
+    import time
+
+    def seconds(n):
+        words = " ".join(f"w{i % 997}x" + (". " if i % 9 == 8 else "") for i in range(n))
+        docs = frame("doc_id long, text string", (1, words))
+        started = time.perf_counter()
+        ranking.scored_sentences(docs, ["doc_id"], text.sentences(F.col("text"))).agg(F.sum("tfidf")).collect()
+        return time.perf_counter() - started
+
+    seconds(500)
+    assert seconds(40000) < 30
