@@ -63,7 +63,7 @@ def test_text_ranking_shuffles_once(spark, name):
 
 
 @pytest.mark.parametrize("name", [
-    "j14_tfidf_summary", "j15_textrank_summary", "j16_important_sentences", "j16_page_lines",
+    "j14_tfidf_summary", "j15_textrank_summary", "j16_important_sentences", "j16_page_lines", "j17_topics",
     "j22_hybrid_bullets"])
 def test_tokens_never_become_rows(spark, name):
     """Only what a document yields in the end is exploded: the token table would be sorted and spilled."""
