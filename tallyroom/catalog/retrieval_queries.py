@@ -229,9 +229,8 @@ def recent_turns(t):
   SELECT doc_id, topic, CASE WHEN len(list_filter(l, lambda s: contains(lower(s), topic))) > 0 THEN len(list_filter(l, lambda s: contains(lower(s), topic)))
     ELSE len(list_filter(l, lambda s: list_has_any({tokens_sql('s')}, string_split(topic, ' ')))) END AS matches FROM d""")
 def topic_matches(t):
-    rows = t.doc_texts.select(
-        "doc_id", text.sentences(F.col("text")).alias("l"),
-        F.explode(F.array(F.lit("the"), F.lit("and of"), F.lit("la"))).alias("topic"))
+    cut = t.doc_texts.select("doc_id", text.sentences(F.col("text")).alias("l"))
+    rows = cut.select("doc_id", "l", F.explode(F.array(F.lit("the"), F.lit("and of"), F.lit("la"))).alias("topic"))
     matches = F.size(topics.topic_sentences(F.col("l"), F.col("topic"), 2**31 - 1))
     return rows.select("doc_id", "topic", matches.cast("long").alias("matches"))
 

@@ -289,9 +289,8 @@ def extract_topics(t):
     list_filter(l, lambda s: list_has_any({tokens_sql('s')}, string_split(topic, ' '))) AS b FROM d)
   SELECT doc_id, topic, coalesce(array_to_string((CASE WHEN len(a) > 0 THEN a ELSE b END)[1:4], '|'), '') AS related FROM h""")
 def topic_sentences(t):
-    rows = t.doc_texts.select(
-        "doc_id", text.sentences(F.col("text")).alias("l"),
-        F.explode(F.array(F.lit("the"), F.lit("and of"), F.lit("la"))).alias("topic"))
+    cut = t.doc_texts.select("doc_id", text.sentences(F.col("text")).alias("l"))
+    rows = cut.select("doc_id", "l", F.explode(F.array(F.lit("the"), F.lit("and of"), F.lit("la"))).alias("topic"))
     return rows.select(
         "doc_id", "topic", F.array_join(topics.topic_sentences(F.col("l"), F.col("topic")), "|").alias("related"))
 

@@ -72,6 +72,12 @@ def test_tokens_never_become_rows(spark, name):
     assert "ObjectHashAggregate(keys=[doc_id" in text and "token" not in re.findall(r"keys=\[([^]]*)", text)
 
 
+def test_sentences_are_cut_before_topics_multiply_them(spark):
+    for name in ("j18_topic_sentences", "e5_topic_matches"):
+        text = plan(QUERIES[name](spark, DATA))
+        assert text.index("Generate explode") < text.index("(?<=[.!?])"), name
+
+
 def test_columns_and_filters_reach_the_scan(spark):
     text = plan(QUERIES["c11_rows_of_user"](spark, DATA))
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,42)]" in text
