@@ -142,3 +142,11 @@ def test_words_are_found_without_moving_texts(spark, name):
 def test_corpus_words_are_never_broadcast(spark):
     frame = QUERIES["e3_lexical_candidates"](spark, DATA)
     assert "SortMergeJoin [term#" in plan(frame) and "SortMergeJoin [piece#" in plan(frame)
+
+
+def test_open_questions_are_worked_out_once(spark):
+    """Their documents were scored anew for each of nine uses, and a found chunk was cut for each question that found it."""
+    text = plan(QUERIES["k9_answer_questions"](spark, DATA))
+    assert "Scan ExistingRDD" in text and "conversations.parquet" not in text
+    cut = text[:text.index("(?<=[.!?])")]
+    assert "Generate explode(blocks" in cut
