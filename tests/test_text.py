@@ -283,3 +283,24 @@ def test_long_documents_are_scored_in_time_of_their_length(spark, frame):
 
     seconds(500)
     assert seconds(40000) < 30
+
+
+def test_only_sentences_that_a_list_can_hold_leave_the_row(frame):
+    """Lists of four are the same from them as from all sentences, with ties and with texts of equal keys."""
+    random = __import__("random").Random(7)
+    words = "alpha beta gamma delta the of and eta".split()
+
+    def body(n):
+        return ". ".join(" ".join(random.choices(words, k=random.randint(5, 7))) for _ in range(n)) + "."
+
+    tie = "Alpha beta gamma delta eta. " * 9
+    docs = frame("doc_id long, text string", *[(i, body(30)) for i in range(8)], (3, body(12)), (20, tie), (21, tie + "The of and the of."),
+                 (22, "the of and the of. " * 7), (None, body(9)), (None, body(20)), (23, None), (24, ""))
+    cut = text.sentences(F.col("text"))
+    every = ranking.scored_sentences(docs, ["doc_id"], cut)
+    few = ranking.scored_sentences(docs, ["doc_id"], cut, most=4)
+    assert every.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 30
+    assert few.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 8
+    for lines in (lambda s: ranking.top_tfidf(s, ["doc_id"], 4), lambda s: ranking.top_textrank(s, ["doc_id"], 4),
+                  lambda s: ranking.merged_lines(s, ["doc_id"], 4, 4), lambda s: ranking.page_lines(s, ["doc_id"], 2)):
+        assert sorted(map(str, lines(few).collect())) == sorted(map(str, lines(every).collect()))
