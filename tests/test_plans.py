@@ -150,3 +150,10 @@ def test_open_questions_are_worked_out_once(spark):
     assert "Scan ExistingRDD" in text and "conversations.parquet" not in text
     cut = text[:text.index("(?<=[.!?])")]
     assert "Generate explode(blocks" in cut
+
+
+def test_word_counts_of_documents_shuffle_the_texts_once(spark):
+    """Words and their counts, many times as many rows, were shuffled twice."""
+    text = plan(QUERIES["j10_document_word_frequencies"](spark, DATA))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Generate posexplode") < text.index("Exchange hashpartitioning")
