@@ -304,3 +304,25 @@ def test_only_sentences_that_a_list_can_hold_leave_the_row(frame):
     for lines in (lambda s: ranking.top_tfidf(s, ["doc_id"], 4), lambda s: ranking.top_textrank(s, ["doc_id"], 4),
                   lambda s: ranking.merged_lines(s, ["doc_id"], 4, 4), lambda s: ranking.page_lines(s, ["doc_id"], 2)):
         assert sorted(map(str, lines(few).collect())) == sorted(map(str, lines(every).collect()))
+
+
+def test_texts_come_back_with_the_topics_of_their_key(frame):
+    """Rows with a key that repeats or is NULL, a text without a candidate, and a NULL text, as a left join gave them."""
+    from tallyroom.operators import topics
+
+    one, other = "Binary Search halves a sorted list quickly.", "Linked Lists hold their elements in nodes."
+    documents = frame("k int, text string, extra int", (1, one, 10), (1, other, 11), (2, "a b", 20), (3, None, 30), (None, one, 40), (1, None, 12))
+    found = topics.extract_topics(documents.select("k", "text"), ["k"], "text", 4)
+    joined = documents.join(found, "k", "left").select("k", "text", "extra", "topics")
+    carried = topics.extract_topics(documents, ["k"], "text", 4, carried=["extra"]).select("k", "text", "extra", "topics")
+    assert sorted(map(repr, carried.collect())) == sorted(map(repr, joined.collect()))
+    assert {r["extra"] for r in carried.where("topics IS NULL").collect()} == {20, 30, 40}
+
+
+@pytest.mark.parametrize("name", ["k13_focus_sentences", "k14_build_questions"])
+def test_texts_are_shuffled_once_and_never_sorted_to_meet_their_topics(spark, name):
+    from conftest import DATA
+    from tallyroom.catalog import all_queries
+
+    plan = all_queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan and "Sort [" not in plan
